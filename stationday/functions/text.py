@@ -21,7 +21,7 @@ def strip_text(col: Column) -> Column:
     return F.nullif(F.btrim(col, F.lit(WHITE_SPACE)), F.lit(""))
 
 
-def strict_cast(col: Column, to: T.DataType, what: str) -> Column:
+def strict_cast(col: Column, to: T.DataType, what: Column) -> Column:
     """Cast text to a declared type; text that is not of the type is an error, NULL stays NULL.
 
     Spark reads ``1.0f``, ``NaN`` and ``Infinity`` as doubles; as observations they are errors.
@@ -32,7 +32,7 @@ def strict_cast(col: Column, to: T.DataType, what: str) -> Column:
     bad = cast.isNull()
     if isinstance(to, T.DoubleType):
         bad = bad | ~col.rlike(_PLAIN_NUMBER)
-    message = F.concat(F.lit(f"Invalid {to.simpleString()} for {what}: "), col)
+    message = F.concat(F.lit(f"Invalid {to.simpleString()} for "), what, F.lit(": "), col)
     return F.when(col.isNotNull() & bad, F.raise_error(message)).otherwise(cast)
 
 
@@ -49,7 +49,7 @@ def csv_fields(line: Column) -> Column:
     """
     marked = F.regexp_replace(
         F.concat(F.lit(","), line),
-        r',("[^"]*+(?:""[^"]*+)*+"(?=,|$)|[^,"]*+(?=,|$))',
+        r',("[^"]*+(?:""[^"]*+)*+"(?=,|\z)|[^,"]*+(?=,|\z))',
         _FIELD_MARK + "$1",
     )
     quoted = F.split(F.substr(marked, F.lit(2)), _FIELD_MARK)
@@ -71,16 +71,24 @@ def csv_value(field: Column) -> Column:
     return F.when(F.startswith(field, F.lit('"')), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
 
 
-def column_position(header: Column, pattern: str) -> Column:
-    """1-based position of the one header that matches ``pattern`` as a whole, else an error."""
-    matches = F.filter(header, lambda name: name.rlike(f"(?U)^(?:{pattern})$"))
+def column_position(header: Column, pattern: Column) -> Column:
+    """1-based position of the one header that matches ``pattern`` as a whole, else an error.
+
+    NULL where no column is wanted, that is where the pattern is NULL.
+    """
+    whole = F.concat(F.lit("(?U)^(?:"), pattern, F.lit(")$"))
+    matches = F.filter(header, lambda name: F.rlike(name, whole))
     message = F.concat(
-        F.lit(f"Expected exactly one column matching {pattern}, found ["),
+        F.lit("Expected exactly one column matching "),
+        pattern,
+        F.lit(", found ["),
         F.array_join(matches, ", "),
         F.lit("]. Available columns: ["),
         F.array_join(header, ", "),
         F.lit("]"),
     )
-    return F.when(F.size(matches) == 1, F.array_position(header, matches[0]).cast("int")).otherwise(
-        F.raise_error(message).cast("int")
+    return (
+        F.when(pattern.isNull(), F.lit(None).cast("int"))
+        .when(F.size(matches) == 1, F.array_position(header, matches[0]).cast("int"))
+        .otherwise(F.raise_error(message).cast("int"))
     )

@@ -1,7 +1,9 @@
 """Raw rows to typed, cleaned tables.
 
-Cleaning is row-wise: each row carries its file's time, so date and hour come from the row itself
-and no join is needed. That a file has one time only is checked by ``time_conflicts``.
+All measurement files are cleaned in one pass into one long table, where a row has its ``source``
+and up to four measures (``SLOTS``). Cleaning is row-wise: each row carries its file's time, so date
+and hour come from the row itself and no join is needed. That a file has one time only is checked
+by ``time_conflicts``.
 """
 
 from __future__ import annotations
@@ -9,64 +11,107 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationday.errors import DataQualityError
 from stationday.functions.pollen import known_plants, known_types, pollen_group, single_day
 from stationday.functions.text import strict_cast, strip_text
 from stationday.functions.time import with_observation_time
 from stationday.operators.joins import SHOWN_IDS
-from stationday.errors import DataQualityError
 from stationday.schemas import (
-    DAILY_WEATHER_SCHEMA,
+    LONG_SCHEMA,
+    MEASUREMENT_BY_NAME,
     MEASUREMENT_CHARSET,
+    MEASUREMENT_FILES,
     MEASUREMENTS,
     POLLEN_COLUMNS,
     POLLEN_SCHEMA,
+    SLOTS,
     STATION_ID_HEADER,
     TIME_HEADERS,
     WMO_ID_HEADER,
-    Measurement,
 )
 from stationday.sources.rawcsv import file_rows, payload_rows
 from stationday.sources.rawjson import pollen_results
 
 KEY = "snapshot_date"
 TIME_TEXT = "observed_text"
+IDS = ("station_id", "wmo_station_id")
+FILE_NAMES = "{" + ",".join(MEASUREMENT_FILES) + "}"
+
+
+def _slot_pattern(slot: int) -> Column:
+    """The header pattern of a slot in the row's file; NULL where the file has no such measure."""
+    pattern = F.lit(None).cast("string")
+    for m in MEASUREMENTS:
+        if slot < len(m.measures):
+            pattern = F.when(F.col("filename") == m.filename, F.lit(m.measures[slot].header)).otherwise(pattern)
+    return pattern
 
 
-def wanted_columns(measurement: Measurement) -> dict[str, str]:
-    """Target names and header patterns of everything read from a measurement file."""
+def wanted_columns() -> dict[str, str | Column]:
+    """Target names and header patterns of everything read from measurement files."""
     fixed = {"station_id": STATION_ID_HEADER, "wmo_station_id": WMO_ID_HEADER, **TIME_HEADERS}
     return {
         **{name: re.escape(header) for name, header in fixed.items()},
-        **{measure.name: measure.header for measure in measurement.measures},
+        **{name: _slot_pattern(i) for i, name in enumerate(SLOTS)},
     }
 
 
-def clean_measurement(rows: DataFrame, measurement: Measurement) -> DataFrame:
-    """Typed rows of one measurement: ``snapshot_date``, the common columns, the measures.
+def landed_measurement_rows(landed: DataFrame) -> DataFrame:
+    """Text rows of the measurement objects of a landing table."""
+    payloads = landed.where(F.col("filename").isin(*MEASUREMENT_FILES)).select(KEY, "filename", "content")
+    return payload_rows(payloads, MEASUREMENT_CHARSET, wanted_columns()).drop("row_no")
+
+
+def measurement_file_rows(
+    spark: SparkSession, folders: str | list[str], names: str | None = FILE_NAMES, **options
+) -> DataFrame:
+    """Text rows of raw measurement files, read in place (``rawcsv.file_rows``)."""
+    return file_rows(spark, folders, MEASUREMENT_CHARSET, wanted_columns(), only=names, **options)
+
+
+def clean_measurements(rows: DataFrame) -> DataFrame:
+    """The long table: typed rows of every measurement, marked by ``source``.
 
     ``observed_text`` keeps the time as it was written, for ``time_conflicts``.
     """
-    ids, values = ("station_id", "wmo_station_id"), [m.name for m in measurement.measures]
-    trimmed = rows.select(KEY, *(strip_text(F.col(c)).alias(c) for c in (*ids, *values, *TIME_HEADERS)))
-    timed = with_observation_time(
-        trimmed.withColumn(TIME_TEXT, F.concat_ws(" ", *(F.coalesce(F.col(t), F.lit("NULL")) for t in TIME_HEADERS)))
+    trimmed = rows.select(KEY, "filename", *(strip_text(F.col(c)).alias(c) for c in (*IDS, *SLOTS, *TIME_HEADERS)))
+    texts = (F.coalesce(F.col(t), F.lit("NULL")) for t in TIME_HEADERS)
+    timed = with_observation_time(trimmed.withColumn(TIME_TEXT, F.concat_ws(" ", *texts)))
+    measures = (
+        strict_cast(F.col(name), dtype, F.concat(F.col("filename"), F.lit(f" {name}"))).alias(name)
+        for name, dtype in SLOTS.items()
     )
-    measures = (strict_cast(F.col(m.name), m.type, m.name).alias(m.name) for m in measurement.measures)
-    return timed.select(KEY, *ids, "date", "observed_at", *measures, TIME_TEXT)
+    source = F.regexp_replace("filename", r"\.csv$", "").alias("source")
+    return timed.select(KEY, source, *IDS, "date", "observed_at", *measures, TIME_TEXT)
 
 
-def measurement_rows(source, measurement: Measurement) -> DataFrame:
-    """Text rows of one measurement from a landing DataFrame or from ``(spark, folders)`` of raw files."""
-    columns = wanted_columns(measurement)
-    if isinstance(source, DataFrame):
-        payloads = source.where(F.col("filename") == measurement.filename).select(KEY, "content")
-        return payload_rows(payloads, MEASUREMENT_CHARSET, columns).drop("row_no")
-    spark, path = source
-    rows = file_rows(spark, path, MEASUREMENT_CHARSET, columns, only=measurement.filename)
-    return rows.drop("filename")
+def cleaned_table(long: DataFrame, name: str) -> DataFrame:
+    """One measurement of the long table under its declared schema, with ``snapshot_date``."""
+    measures = MEASUREMENT_BY_NAME[name].measures
+    return long.where(F.col("source") == name).select(
+        KEY, *IDS, "date", "observed_at", *(F.col(slot).alias(m.name) for slot, m in zip(SLOTS, measures))
+    )
+
+
+def long_table(cleaned: dict[str, DataFrame]) -> DataFrame:
+    """The long table made of the five cleaned tables, the inverse of ``cleaned_table``."""
+    missing = [m.name for m in MEASUREMENTS if m.name not in cleaned]
+    if missing:
+        raise ValueError(f"Missing cleaned measurements: {missing!r}")
+
+    def to_long(m):
+        own = dict(zip(SLOTS, m.measures))
+        slots = (
+            (F.col(own[slot].name) if slot in own else F.lit(None)).cast(dtype).alias(slot)
+            for slot, dtype in SLOTS.items()
+        )
+        time = F.date_format("observed_at", "yyyy-MM-dd HH:mm").alias(TIME_TEXT)
+        return cleaned[m.name].select(KEY, F.lit(m.name).alias("source"), *IDS, "date", "observed_at", *slots, time)
+
+    return reduce(DataFrame.unionByName, map(to_long, MEASUREMENTS)).select(*LONG_SCHEMA.fieldNames())
 
 
 def time_conflicts(cleaned: DataFrame, groups: list[str]) -> DataFrame:
@@ -87,16 +132,6 @@ def require_one_time(cleaned: DataFrame, groups: list[str]) -> None:
         raise DataQualityError(f"Expected one observation time per file, found several in {shown}", failures=found)
 
 
-def long_table(cleaned: dict[str, DataFrame]) -> DataFrame:
-    """All measurements in one table, marked by ``source``; measures a source lacks are NULL."""
-    missing = [m.name for m in MEASUREMENTS if m.name not in cleaned]
-    if missing:
-        raise ValueError(f"Missing cleaned measurements: {missing!r}")
-    order = [KEY, "source", TIME_TEXT, *DAILY_WEATHER_SCHEMA.fieldNames()]
-    frames = (cleaned[m.name].withColumn("source", F.lit(m.name)) for m in MEASUREMENTS)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).select(*order)
-
-
 def clean_pollen_results(results: DataFrame) -> DataFrame:
     """One row per station and snapshot with a nested group per pollen type; dated by its key."""
     station = F.col("station_id")
@@ -107,16 +142,11 @@ def clean_pollen_results(results: DataFrame) -> DataFrame:
         known_types(F.col("day"), station).alias("types"),
         known_plants(F.col("day"), station).alias("plants"),
     )
-    return parts.select(
-        KEY,
-        "station_id",
-        F.col(KEY).alias("date"),
-        *(
-            pollen_group(F.col("types"), F.col("plants"), code).alias(column)
-            for code, column in POLLEN_COLUMNS.items()
-        ),
+    groups = (
+        pollen_group(F.col("types"), F.col("plants"), code).alias(column) for code, column in POLLEN_COLUMNS.items()
     )
+    return parts.select(KEY, "station_id", F.col(KEY).alias("date"), *groups).select(KEY, *POLLEN_SCHEMA.fieldNames())
 
 
 def clean_pollen(payloads: DataFrame) -> DataFrame:
-    return clean_pollen_results(pollen_results(payloads)).select(KEY, *POLLEN_SCHEMA.fieldNames())
+    return clean_pollen_results(pollen_results(payloads))

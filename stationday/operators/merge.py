@@ -2,33 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationday.errors import DataQualityError
 from stationday.operators.joins import SHOWN_IDS, duplicate_keys, per_date, raise_if_any
 from stationday.operators.quality import date_conflicts
-from stationday.schemas import DAILY_WEATHER_SCHEMA, MEASURE_COLUMNS
+from stationday.schemas import DAILY_WEATHER_SCHEMA, MEASUREMENTS, SLOTS
 
 
-def full_merge(long: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+def full_merge(long: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
     """Full outer merge of the sources of a long table, keys coalesced, as one aggregation.
 
     Each source has a key once at most (``key_check``), so the maximum of a column is its one
     value. One exchange replaces the exchanges of a chain of full outer joins.
     """
-    return long.groupBy(*keys).agg(*(F.max(c).alias(c) for c in columns))
+    return long.groupBy(*keys).agg(*(F.max(c).alias(name) for name, c in columns.items()))
+
+
+def measure_columns() -> dict[str, Column]:
+    """The wide table's measures as expressions over the long table."""
+    return {
+        measure.name: F.when(F.col("source") == m.name, F.col(slot))
+        for m in MEASUREMENTS
+        for slot, measure in zip(SLOTS, m.measures)
+    }
 
 
 def wide_rows(cleaned: DataFrame) -> DataFrame:
-    """``daily_weather`` of every snapshot of a cleaned long table, without the eager checks.
+    """``daily_weather`` of every snapshot of the long table, without the eager checks.
 
     ``observed_at`` is the oldest hour of all sources, rows without a WMO id included; the merge
     itself leaves those rows out.
     """
     oldest = cleaned.groupBy("snapshot_date").agg(F.min("observed_at").alias("observed_at"))
     with_id = cleaned.where(F.col("wmo_station_id").isNotNull())
-    merged = full_merge(with_id, ["snapshot_date", "station_id", "wmo_station_id", "date"], list(MEASURE_COLUMNS))
+    merged = full_merge(with_id, ["snapshot_date", "station_id", "wmo_station_id", "date"], measure_columns())
     return merged.join(per_date(oldest), "snapshot_date").select("snapshot_date", *DAILY_WEATHER_SCHEMA.fieldNames())
 
 

@@ -25,17 +25,20 @@ def missing_columns(header: list[str]) -> list[str]:
 
 
 def read_station_master(spark: SparkSession, path: str) -> DataFrame:
-    """The station master file as trimmed texts, with ``row_no``, the row's place in the file."""
-    payload = spark.read.format("binaryFile").load(path).select("content")
+    """The station master file as trimmed texts, with ``place``, the row's place in the file.
+
+    A master in several files, each with a header, is read in the order of the files' names.
+    """
+    payload = spark.read.format("binaryFile").load(path).select("path", "content")
     with java_charsets(spark):
         texts = payload.select(F.decode("content", STATION_MASTER_CHARSET).alias("text"))
     header = texts.select(F.explode(csv_fields(F.split("text", r"\r\n|\n|\r")[0])).alias("name"))
-    names = [row.name for row in header.select(csv_value(F.col("name")).alias("name")).collect()]
-    if lacking := missing_columns(names):
+    names = header.select(csv_value(F.col("name")).alias("name")).distinct().collect()
+    if lacking := missing_columns([row.name for row in names]):
         raise ValueError(f"Missing required station master columns: {lacking!r}")
     columns = {target: re.escape(name) for target, name in STATION_MASTER_HEADERS.items()}
     rows = payload_rows(payload, STATION_MASTER_CHARSET, columns)
-    return rows.select("row_no", *(strip_text(F.col(c)).alias(c) for c in columns))
+    return rows.select(F.struct("path", "row_no").alias("place"), *(strip_text(F.col(c)).alias(c) for c in columns))
 
 
 def stations_in_use(weather: DataFrame) -> DataFrame:
@@ -55,7 +58,7 @@ def first_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 def describe_stations(in_use: DataFrame, master: DataFrame) -> DataFrame:
     """Stations in use with the first master row of each; ``n`` counts its rows, NULL is none."""
     wanted = master.join(broadcast_if_small(in_use.select("station_id").distinct()), "station_id", "left_semi")
-    first = first_rows(wanted, ["station_id"], "row_no")
+    first = first_rows(wanted, ["station_id"], "place")
     return in_use.join(first, "station_id", "left").select(
         "station_id",
         "wmo_station_id",

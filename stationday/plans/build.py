@@ -27,7 +27,7 @@ from stationday.operators.quality import (
     source_times,
 )
 from stationday.operators.stations import read_station_master, wmo_stations
-from stationday.schemas import MEASUREMENTS, POLLEN_COLUMNS, POLLEN_FILE
+from stationday.schemas import POLLEN_COLUMNS, POLLEN_FILE
 from stationday.session import work_folder
 from stationday.sinks.documents import geojson_lines, write_documents
 from stationday.sinks.metrics import append_metrics, metric_rows
@@ -101,10 +101,9 @@ def _overwrite(df: DataFrame, path: str, *partitions: str) -> DataFrame:
     return read_declared(df.sparkSession, path, df.schema)
 
 
-def clean_measurements(source, warehouse: Warehouse, dates: list[dt.date]) -> DataFrame:
-    """Clean the five measurements, keep them as one table, and block on their checks."""
-    frames = {m.name: clean.clean_measurement(clean.measurement_rows(source, m), m) for m in MEASUREMENTS}
-    table = clean.long_table(frames)
+def clean_measurements(rows: DataFrame, warehouse: Warehouse, dates: list[dt.date]) -> DataFrame:
+    """Clean the measurement rows, keep them as one table, and block on its checks."""
+    table = clean.clean_measurements(rows)
     cleaned = select_snapshots(_overwrite(table, warehouse.cleaned, *SOURCE_KEY), dates)
     clean.require_one_time(cleaned, SOURCE_KEY)
     expected = expected_groups(cleaned.sparkSession, dates)
@@ -126,13 +125,9 @@ def clean_pollen(landed: DataFrame, warehouse: Warehouse, dates: list[dt.date])
 
 def _metrics(cleaned: DataFrame, weather: DataFrame, pollen: DataFrame, conditions: DataFrame) -> DataFrame:
     """Counts, NULLs, dates and hours of every table, by snapshot; all small aggregates."""
-    values = [m.value for m in MEASUREMENTS]
-    own_nulls = F.sum(
-        sum(((F.col("source") == m.name) & F.col(m.value).isNull()).cast("long") for m in MEASUREMENTS)
-    )
-    cleaned_counts = cleaned.select(*SOURCE_KEY, "date", "observed_at", *values).groupBy(*SOURCE_KEY).agg(
+    cleaned_counts = cleaned.groupBy(*SOURCE_KEY).agg(
         F.count(F.lit(1)).alias("row_count"),
-        own_nulls.alias("null_count"),
+        F.count_if(F.col("value").isNull()).alias("null_count"),
         F.min("date").alias("observation_date"),
         F.min("observed_at").alias("observed_at"),
     )
@@ -170,14 +165,14 @@ def rebuild(
     days = sorted(set(dates)) if dates is not None else [today()]
     run_id = uuid.uuid4().hex
     landed = select_snapshots(read_landing(spark, warehouse.landing), days)
-    objects, source = landed.select("snapshot_date", "filename"), landed
-    if measurements:
-        folders = [f"{measurements.rstrip('/')}/{day:%Y%m%d}" for day in days]
+    objects = landed.select("snapshot_date", "filename")
+    folders = [f"{measurements.rstrip('/')}/{day:%Y%m%d}" for day in days] if measurements else []
+    if folders:
         objects = objects.unionByName(file_payloads(spark, folders).select(*objects.columns))
-        source = (spark, folders)
     require_objects(expected_objects(spark, days), objects)
 
-    cleaned = clean_measurements(source, warehouse, days)
+    rows = clean.measurement_file_rows(spark, folders) if folders else clean.landed_measurement_rows(landed)
+    cleaned = clean_measurements(rows, warehouse, days)
     require_one_date(cleaned)
     weather = select_snapshots(_overwrite(wide_rows(cleaned), warehouse.weather, "snapshot_date"), days)
     require_consistent_ids(weather)

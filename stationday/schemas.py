@@ -132,7 +132,8 @@ MEASUREMENTS = (
     _wind("max_gust"),
 )
 MEASUREMENT_BY_NAME = {m.name: m for m in MEASUREMENTS}
-RAW_FILENAMES = (*(m.filename for m in MEASUREMENTS), POLLEN_FILE)
+MEASUREMENT_FILES = tuple(m.filename for m in MEASUREMENTS)
+RAW_FILENAMES = (*MEASUREMENT_FILES, POLLEN_FILE)
 
 COMMON_FIELDS = (
     T.StructField("station_id", STRING),
@@ -145,6 +146,18 @@ MEASURE_FIELDS = tuple(
 )
 MEASURE_COLUMNS = tuple(f.name for f in MEASURE_FIELDS)
 
+# In the long table all measurements share these columns; a measurement fills the first of them.
+SLOTS = {"value": DOUBLE, "quality": LONG, "direction": STRING, "direction_quality": LONG}
+LONG_SCHEMA = T.StructType(
+    [
+        T.StructField("snapshot_date", T.DateType()),
+        T.StructField("source", STRING),
+        *COMMON_FIELDS,
+        *(T.StructField(name, dtype) for name, dtype in SLOTS.items()),
+        T.StructField("observed_text", STRING),
+    ]
+)
+
 CLEANED_SCHEMAS = {
     m.name: T.StructType(
         [*COMMON_FIELDS, *(T.StructField(measure.name, measure.type) for measure in m.measures)]

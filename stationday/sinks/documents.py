@@ -15,7 +15,6 @@ from stationday.operators.joins import per_date
 from stationday.schemas import JAPAN_TIME
 
 GEOJSON_HEAD, GEOJSON_TAIL = '{"type":"FeatureCollection","features":[', "]}"
-ENVELOPE_HEAD, ENVELOPE_TAIL = '{"results":[', "]}"
 
 
 def to_compact_json(value: Column) -> Column:
@@ -69,14 +68,3 @@ def write_documents(lines: DataFrame, path: str, day: str) -> None:
 def geojson_lines(conditions: DataFrame) -> DataFrame:
     text = to_compact_json(geojson_feature(conditions.columns))
     return document_lines(conditions, "date", "station_id", text, GEOJSON_HEAD, GEOJSON_TAIL)
-
-
-def envelope_lines(responses: DataFrame) -> DataFrame:
-    """Pollen envelopes from ``snapshot_date, station_id, latitude, longitude, response`` (JSON text).
-
-    A response is put into its envelope as it is, so no member of it is lost.
-    """
-    fields = F.struct("station_id", "latitude", "longitude")
-    opening = F.regexp_replace(to_compact_json(fields), r"\}$", "")
-    text = F.concat(opening, F.lit(',"response":'), F.col("response"), F.lit("}"))
-    return document_lines(responses, "snapshot_date", "station_id", text, ENVELOPE_HEAD, ENVELOPE_TAIL)

@@ -20,6 +20,9 @@ from stationday.functions.time import snapshot_date
 from stationday.operators.joins import broadcast_if_small
 from stationday.session import java_charsets
 
+# target names to header patterns; a pattern may depend on ``filename``, so it may be a Column
+Columns = Mapping[str, str | Column]
+
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 _LINE_BREAK = r"\r\n|\n|\r"
 OBJECT_KEY = r"(?:^|/)(\d{8})/([^/]+)$"
@@ -32,15 +35,18 @@ def object_key_columns(path: Column, pattern: str = OBJECT_KEY) -> tuple[Column,
     return day, name
 
 
-def _layout(header: Column, columns: Mapping[str, str]) -> Column:
+def _layout(header: Column, columns: Columns) -> Column:
     """Where each wanted column stands in a file, and how many fields a line must have."""
     return F.struct(
         F.size(header).alias("width"),
-        *(column_position(header, pattern).alias(target) for target, pattern in columns.items()),
+        *(
+            column_position(header, F.lit(pattern) if isinstance(pattern, str) else pattern).alias(target)
+            for target, pattern in columns.items()
+        ),
     )
 
 
-def _select_fields(lines: DataFrame, columns: Mapping[str, str], keep: list[str]) -> DataFrame:
+def _select_fields(lines: DataFrame, columns: Columns, keep: list[str]) -> DataFrame:
     message = F.concat(
         F.lit("Expected "),
         F.col("layout.width"),
@@ -61,11 +67,11 @@ def _select_fields(lines: DataFrame, columns: Mapping[str, str], keep: list[str]
     )
 
 
-def payload_rows(payloads: DataFrame, charset: str, columns: Mapping[str, str]) -> DataFrame:
+def payload_rows(payloads: DataFrame, charset: str, columns: Columns) -> DataFrame:
     """Rows of CSV payloads: every column of ``payloads`` but ``content``, ``row_no``, the texts.
 
-    ``columns`` maps target names to header patterns. Decoding is strict, and a header that is
-    missing or given twice or a line of the wrong width is an error.
+    Decoding is strict; a header that is missing or given twice, or a line of the wrong width, is
+    an error.
     """
     keep = [c for c in payloads.columns if c != "content"]
     with java_charsets(payloads.sparkSession):
@@ -101,7 +107,7 @@ def split_rows(
     spark: SparkSession,
     path: str | list[str],
     charset: str,
-    columns: Mapping[str, str],
+    columns: Columns,
     min_bytes: int = WHOLE_FILE_BYTES,
     pattern: str = OBJECT_KEY,
     only: str | None = None,
@@ -132,29 +138,29 @@ def split_rows(
         .groupBy("path")
         .agg(F.min_by("line", "seq").alias("header"), F.min("seq").alias("header_seq"))
         .withColumn("header", csv_fields(F.col("header")))
-        .select("path", "header_seq", _layout(F.col("header"), columns).alias("layout"))
+    )
+    heads = _path_columns(heads, F.col("path"), pattern).select(
+        "path", "snapshot_date", "filename", "header_seq", _layout(F.col("header"), columns).alias("layout")
     )
     files = file_payloads(spark, path, pattern, only).where(F.col("length") > min_bytes)
     body = lines.join(broadcast_if_small(heads, bounded_by=files), "path").where(
         (F.col("block_start") > 0) | (F.col("seq") != F.col("header_seq"))
     )
-    return _select_fields(
-        _path_columns(body, F.col("path"), pattern), columns, ["snapshot_date", "filename"]
-    )
+    return _select_fields(body, columns, ["snapshot_date", "filename"])
 
 
 def file_rows(
     spark: SparkSession,
     path: str | list[str],
     charset: str,
-    columns: Mapping[str, str],
+    columns: Columns,
     whole_file_bytes: int = WHOLE_FILE_BYTES,
     pattern: str = OBJECT_KEY,
     only: str | None = None,
 ) -> DataFrame:
     """Rows of the files below ``path``: small files whole, large files as splittable lines.
 
-    ``only`` restricts the scan to files of one name.
+    ``only`` is a glob of file names.
     """
     small = file_payloads(spark, path, pattern, only).where(F.col("length") <= whole_file_bytes)
     small_rows = payload_rows(small.select("snapshot_date", "filename", "content"), charset, columns)
