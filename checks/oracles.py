@@ -65,12 +65,15 @@ DEGREES = """CAST(24 + c_custkey % 21 AS DOUBLE) + CAST(c_custkey * 7 % 60 AS DO
 WEATHER = f"""{WIDE}, weather AS (
   SELECT station_id, date, observed_at, c_name AS station_name, {DEGREES}, {", ".join(COLUMNS)}
   FROM wide JOIN customer ON CAST(c_custkey AS VARCHAR) = station_id)"""
-POLLEN = f"""pol_types AS (
+
+
+def _pollen(index_values: int) -> str:
+    return f"""pol_types AS (
   SELECT station_id, date, CASE event_type WHEN 'click' THEN 'TREE' WHEN 'view' THEN 'GRASS' ELSE 'WEED' END AS type,
-         max(CAST(floor(value) AS BIGINT) % 7) AS v
+         max(CAST(floor(value) AS BIGINT) % {index_values}) AS v
   FROM ev WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1, 2, 3),
 pol_plants AS (
-  SELECT station_id, date, code, {_case('code', PLANT_TYPES, 'TREE')} AS type, max(CAST(floor(value) AS BIGINT) % 7) AS v
+  SELECT station_id, date, code, {_case('code', PLANT_TYPES, 'TREE')} AS type, max(CAST(floor(value) AS BIGINT) % {index_values}) AS v
   FROM (SELECT *, list_extract([{", ".join(repr(c) for c in CODES)}], CAST(k % {len(CODES)} AS INTEGER) + 1) AS code
         FROM ev)
   WHERE code NOT IN ('PLANT_UNSPECIFIED', 'BAMBOO') GROUP BY 1, 2, 3, 4),
@@ -86,7 +89,12 @@ pol AS (
   SELECT s.station_id, s.date, max(info) FILTER (WHERE type = 'GRASS') AS grass_info,
          max(info) FILTER (WHERE type = 'TREE') AS tree_info, max(info) FILTER (WHERE type = 'WEED') AS weed_info
   FROM (SELECT DISTINCT station_id, date FROM ev) s LEFT JOIN pol_groups USING (station_id, date) GROUP BY 1, 2)"""
-CONDITIONS = f"{WEATHER}, {POLLEN}, cond AS (SELECT * FROM weather JOIN pol USING (station_id, date))"
+
+
+POLLEN = _pollen(7)
+COND = "cond AS (SELECT * FROM weather JOIN pol USING (station_id, date))"
+CONDITIONS = f"{WEATHER}, {POLLEN}, {COND}"
+VALID_CONDITIONS = f"{WEATHER}, {_pollen(6)}, {COND}"
 
 
 def _ts(column: str, alias: str | None = None) -> str:
@@ -258,6 +266,6 @@ FROM orders WHERE o_orderkey % 3 <> 0""",
   CAST(1 AS BIGINT) AS firsts, count(*) - 1 AS nexts, CAST(1 AS BIGINT) AS tails FROM weather GROUP BY weather.date""",
     "raw_csv_roundtrip": RAW,
     "raw_csv_split_roundtrip": RAW,
-    "full_rebuild": f"WITH {CONDITIONS} SELECT * REPLACE ({_hour_text('CAST(date AS DATE)')} AS observed_at) "
+    "full_rebuild": f"WITH {VALID_CONDITIONS} SELECT * REPLACE ({_hour_text('CAST(date AS DATE)')} AS observed_at) "
     f"FROM (SELECT {_COND} FROM cond)",
 }

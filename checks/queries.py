@@ -447,7 +447,8 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     write_landing(landing_rows(spark, f"{root}/incoming", stamp, PARTS_PATTERN), warehouse.landing)
     in_use = long.where(F.col("wmo_station_id").isNotNull()).select("station_id", "snapshot_date").distinct()
-    land_pollen(responses(spark, sf_dir).join(in_use, ["station_id", "snapshot_date"]), warehouse.landing, stamp)
+    valid = responses(spark, sf_dir, index_values=6)
+    land_pollen(valid.join(in_use, ["station_id", "snapshot_date"]), warehouse.landing, stamp)
     # one date per snapshot: the calendar bounds the list
     dates = [row[0] for row in long.select("date").distinct().collect()]
     rebuild(spark, warehouse, f"{root}/master/*.csv", dates)

@@ -109,14 +109,16 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located(master(spark, sf_dir)).join(wmo, "station_id").select(*STATION_SCHEMA.fieldNames())
 
 
-def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One pollen response per station and day, as JSON text.
+def responses(spark: SparkSession, sf_dir: str, index_values: int = 7) -> DataFrame:
+    """One pollen response per station and day, as JSON text, with indexes from 0 up.
+
+    Seven index values are one more than the range allows.
 
     A code has one type and one value (the largest) per station and day, so the lists are bounded
     by the code lists, whatever the number of events.
     """
     events = dated_events(spark, sf_dir)
-    index = (F.floor("value") % 7).cast("long")
+    index = (F.floor("value") % index_values).cast("long")
     code = F.array(*(F.lit(c) for c in CODES))[(F.col("k") % len(CODES)).cast("int")]
     entries = events.select(
         "station_id",

@@ -104,7 +104,7 @@ def _overwrite(df: DataFrame, path: str, *partitions: str) -> DataFrame:
 def clean_measurements(rows: DataFrame, warehouse: Warehouse, dates: list[dt.date]) -> DataFrame:
     """Clean the measurement rows, keep them as one table, and block on its checks."""
     table = clean.clean_measurements(rows)
-    cleaned = select_snapshots(_overwrite(table, warehouse.cleaned, *SOURCE_KEY), dates)
+    cleaned = select_snapshots(_overwrite(table, warehouse.cleaned, "snapshot_date"), dates)
     clean.require_one_time(cleaned, SOURCE_KEY)
     expected = expected_groups(cleaned.sparkSession, dates)
     assert_checks(key_check(cleaned, SOURCE_KEY, expected=expected), "valid_daily_weather_key")

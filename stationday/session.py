@@ -45,10 +45,12 @@ def work_folder(spark: SparkSession, name: str) -> str:
     Where the setting is absent a local session gets a temporary folder; a cluster session
     has to name a shared one, since executors cannot see each other's local disks.
     """
-    root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(_CHECKPOINT_DIR)
+    context = spark.sparkContext
+    root = spark.conf.get(_CHECKPOINT_DIR, None) or context.getConf().get(_CHECKPOINT_DIR)
+    root = root or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"{_CHECKPOINT_DIR} must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="stationday-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stationday-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
