@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,34 +39,37 @@ class Named:
 
 
 def named_extremes(
-    df: DataFrame, specs: Sequence[Named], also: Sequence = (), by: str = "date",
-    name: str = "station_name", station: str = "station_id",
-) -> DataFrame:
-    """Per day: each measure's extreme and the name of its first station by id.
+    df: DataFrame,
+    specs: Sequence[Named],
+    latest: str,
+    by: str = "date",
+    name: str = "station_name",
+    station: str = "station_id",
+) -> DataFrame:
+    """Per day: the maximum of ``latest``, each measure's extreme and the name of its first station.
 
     As for ``arg_max``, rows without a name cannot be named, so the named value may lie below the
-    extreme one. ``also`` are further aggregates per day.
+    extreme one. Two scans: one for the values, on numbers only, and one for the few rows at them.
     """
-
-    def pick(spec: Named):
-        return F.max if spec.largest else F.min
-
-    values = df.groupBy(by).agg(
-        *also,
-        *(pick(s)(s.measure).alias(s.value) for s in specs),
-        *(pick(s)(F.when(F.col(name).isNotNull(), F.col(s.measure))).alias(f"_{s.value}") for s in specs),
+    values = df.groupBy(F.col(by).alias("_day")).agg(
+        F.max(latest).alias(f"_{latest}"),
+        *((F.max if s.largest else F.min)(s.measure).alias(f"_{s.value}") for s in specs),
+        *(
+            (F.max if s.largest else F.min)(F.when(F.col(name).isNotNull(), F.col(s.measure))).alias(f"_{s.name}")
+            for s in specs
+        ),
     )
-    bests = per_date(values.select(F.col(by).alias("_day"), *(f"_{s.value}" for s in specs)))
-    hits = {s: (F.col(s.measure) == F.col(f"_{s.value}")) & F.col(name).isNotNull() for s in specs}
+    hits = {s: F.col(name).isNotNull() & (F.col(s.measure) == F.col(f"_{s.name}")) for s in specs}
+    # a day that names nothing keeps its rows, so that its values are not lost
+    nameless = reduce(and_, (F.col(f"_{s.name}").isNull() for s in specs))
     ties = (
         df.select(by, station, name, *dict.fromkeys(s.measure for s in specs))
-        .join(bests, F.col(by) == F.col("_day"))
-        .where(reduce(or_, hits.values()))
+        .join(per_date(values), F.col(by) == F.col("_day"))
+        .where(reduce(or_, hits.values()) | nameless)
     )
     order = F.struct(F.col(station).isNull(), F.col(station))
-    names = ties.groupBy(by).agg(
-        *(F.min_by(F.when(hit, F.col(name)), F.when(hit, order)).alias(s.name) for s, hit in hits.items())
-    )
-    outputs = [c for s in specs for c in (s.name, s.value)]
-    extra = [c for c in values.columns if c != by and c not in outputs and not c.startswith("_")]
-    return values.join(per_date(names), by, "left").select(by, *extra, *outputs)
+    outputs = [F.max(f"_{latest}").alias(latest)]
+    for s, hit in hits.items():
+        outputs.append(F.min_by(F.when(hit, F.col(name)), F.when(hit, order)).alias(s.name))
+        outputs.append(F.max(f"_{s.value}").alias(s.value))
+    return ties.groupBy(by).agg(*outputs)

@@ -47,19 +47,18 @@ def key_check(
         F.count(F.lit(1)).alias("n"), F.sum(any_null(required).cast("long")).alias("nulls")
     )
     counts = by_key.groupBy(*groups).agg(
-        F.sum("nulls").alias("null_key_row_count"),
-        F.count_if(F.col("n") > 1).alias("duplicate_key_count"),
-        F.sum("n").alias("row_count"),
+        F.sum("nulls").alias("null_key_row_count"), F.count_if(F.col("n") > 1).alias("duplicate_key_count")
     )
-    times = [F.col("date"), *([F.col("observed_at")] if has_time else [])]
-    # a handful of rows per group: distinct counts are taken of what is left after grouping
-    moments = df.select(*groups, *(t.alias(f"_{i}") for i, t in enumerate(times))).distinct()
-    moments = moments.groupBy(*groups).agg(
-        F.count_distinct("_0").alias("date_count"),
-        (F.count_distinct("_1") if has_time else F.lit(1).cast("long")).alias("observed_at_count"),
-        *([F.min("_1").alias("first_observed_at"), F.max("_1").alias("last_observed_at")] if has_time else []),
+    # a handful of rows per group is left for the distinct counts; the row count keeps the first
+    # grouping in the plan, which would otherwise be merged into an expansion of every row
+    named = {"_date": F.col("date"), **({"_time": F.col("observed_at")} if has_time else {})}
+    moments = df.groupBy(*groups, *(c.alias(n) for n, c in named.items())).agg(F.count(F.lit(1)).alias("n"))
+    times = moments.groupBy(*groups).agg(
+        F.count_distinct("_date").alias("date_count"),
+        (F.count_distinct("_time") if has_time else F.lit(1).cast("long")).alias("observed_at_count"),
+        F.sum("n").alias("row_count"),
     )
-    result = counts.join(moments, groups)
+    result = counts.join(times, groups)
     if expected is not None:
         result = expected.join(result, groups, "left")
     numbers = {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in (*KEY_COUNTS, "row_count")}

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stationday.functions.time import today
 from stationday.operators import clean
 from stationday.operators.conditions import daily_weather_conditions
-from stationday.operators.merge import require_consistent_ids, require_one_date, wide_rows
+from stationday.operators.merge import few_values, require_consistent_ids, require_one_date, wide_rows
 from stationday.operators.quality import (
     assert_checks,
     expected_groups,
@@ -174,7 +174,8 @@ def rebuild(
     rows = clean.measurement_file_rows(spark, folders) if folders else clean.landed_measurement_rows(landed)
     cleaned = clean_measurements(rows, warehouse, days)
     require_one_date(cleaned)
-    weather = select_snapshots(_overwrite(wide_rows(cleaned), warehouse.weather, "snapshot_date"), days)
+    wide = wide_rows(cleaned, few_values(cleaned, "direction"))
+    weather = select_snapshots(_overwrite(wide, warehouse.weather, "snapshot_date"), days)
     require_consistent_ids(weather)
 
     stations = wmo_stations(weather, read_station_master(spark, station_master))

@@ -76,7 +76,4 @@ def nearest_stations(
 
 def daily_summary(conditions: DataFrame, date: dt.date | None = None) -> DataFrame:
     """One row per day, ten columns; a day without rows gives none."""
-    summary = named_extremes(
-        on_date(conditions, date), SUMMARY, also=(F.max("observed_at").alias("observed_at"),)
-    )
-    return summary.orderBy("date")
+    return named_extremes(on_date(conditions, date), SUMMARY, latest="observed_at").orderBy("date")
