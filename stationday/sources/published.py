@@ -23,6 +23,17 @@ def read_published(spark: SparkSession, root: str, schema: T.StructType = CONDIT
 
 
 def undeclared_columns(spark: SparkSession, root: str, schema: T.StructType = CONDITIONS_SCHEMA) -> list[str]:
-    """Columns present in some file but not in the declared schema, which ``read_published`` hides."""
-    merged = spark.read.option("mergeSchema", "true").parquet(root).schema
-    return sorted(set(merged.fieldNames()) - set(schema.fieldNames()))
+    """Columns present in some file but not in the declared schema, which ``read_published`` hides.
+
+    Spark merges the files' schemas in a job. Where their types differ it refuses to; the days are
+    then looked at one by one, of which there are no more than the calendar has.
+    """
+    merging = spark.read.option("mergeSchema", "true")
+    try:
+        found = set(merging.parquet(root).columns)
+    except Exception as error:  # a Java error without a class of its own in PySpark
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        days = read_declared(spark, root, schema).select("date").distinct().collect()
+        found = {name for day in days for name in merging.parquet(f"{root}/date={day.date}").columns}
+    return sorted(found - set(schema.fieldNames()))
