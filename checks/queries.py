@@ -15,10 +15,10 @@ from checks.standins import (
     master,
     plain,
     pollen,
+    published_conditions,
     responses,
     stations,
     table,
-    weather_conditions,
     wide,
 )
 from stationday.functions.text import csv_fields, csv_value, lenient_double, strict_cast, strip_text
@@ -79,29 +79,29 @@ def wide_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(q.all_weather_conditions(conditions(spark, sf_dir), DAY))
+    return plain(q.all_weather_conditions(published_conditions(spark, sf_dir), DAY))
 
 
-def _by_day(query, date=None, columns=("date", "station_id", "station_name")):
+def _by_day(query, date=None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return plain(query(weather_conditions(spark, sf_dir), date).drop(*POLLEN_COLUMNS.values()))
+        return plain(query(published_conditions(spark, sf_dir), date).drop(*POLLEN_COLUMNS.values()))
 
     return run
 
 
 def nearest_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = q.nearest_stations(weather_conditions(spark, sf_dir), DAY, *POINT)
+    found = q.nearest_stations(published_conditions(spark, sf_dir), DAY, *POINT)
     return plain(found.select("date", "station_id", "station_name", F.round("distance_km", 6).alias("distance_km")))
 
 
 def nearest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = q.nearest_stations(weather_conditions(spark, sf_dir), None, *POINT)
+    found = q.nearest_stations(published_conditions(spark, sf_dir), None, *POINT)
     return plain(found.select("date", "station_id", "station_name", F.round("distance_km", 6).alias("distance_km")))
 
 
 def _sql(text: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sql.register_view(weather_conditions(spark, sf_dir))
+        sql.register_view(published_conditions(spark, sf_dir))
         return plain(sql.fetch(spark, text).drop(*POLLEN_COLUMNS.values()))
 
     return run
@@ -348,7 +348,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feature's text, parsed again: geometry, and properties back to the published columns."""
-    features = geojson_features(conditions(spark, sf_dir))
+    features = geojson_features(published_conditions(spark, sf_dir))
     properties = ", ".join(
         f"{f.name}: {'string' if f.name == 'observed_at' else f.dataType.simpleString()}"
         for f in CONDITIONS_SCHEMA
@@ -373,7 +373,7 @@ def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geojson_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the written documents: one head, one tail, commas between features."""
     root = work_folder(spark, "geojson")
-    write_documents(geojson_lines(weather_conditions(spark, sf_dir)), root, "date")
+    write_documents(geojson_lines(published_conditions(spark, sf_dir)), root, "date")
     lines = spark.read.text(root)
     begins = {"heads": '{"type":"FeatureCollection"', "firsts": '{"type":"Feature",', "nexts": ',{"type":"Feature",'}
     counts = (F.count_if(F.startswith("value", F.lit(text))).alias(name) for name, text in begins.items())
@@ -447,8 +447,8 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     write_landing(landing_rows(spark, f"{root}/incoming", stamp, PARTS_PATTERN), warehouse.landing)
     in_use = long.where(F.col("wmo_station_id").isNotNull()).select("station_id", "snapshot_date").distinct()
-    valid = responses(spark, sf_dir, index_values=6)
-    land_pollen(valid.join(in_use, ["station_id", "snapshot_date"]), warehouse.landing, stamp)
+    responses(spark, sf_dir, index_values=6).join(in_use, ["station_id", "snapshot_date"]).write.parquet(f"{root}/responses")
+    land_pollen(spark.read.parquet(f"{root}/responses"), warehouse.landing, stamp)
     # one date per snapshot: the calendar bounds the list
     dates = [row[0] for row in long.select("date").distinct().collect()]
     rebuild(spark, warehouse, f"{root}/master/*.csv", dates)

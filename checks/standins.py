@@ -15,7 +15,10 @@ from stationday.functions.text import lenient_double
 from stationday.operators.clean import clean_pollen_results
 from stationday.operators.conditions import join_conditions
 from stationday.operators.merge import wide_rows
-from stationday.schemas import CONDITIONS_SCHEMA, LONG_SCHEMA, PLANT_CODES, POLLEN_FIELDS, STATION_SCHEMA
+from stationday.schemas import LONG_SCHEMA, PLANT_CODES, STATION_SCHEMA
+from stationday.session import work_folder
+from stationday.sinks.parquet import write_verified
+from stationday.sources.published import read_published
 from stationday.sources.rawjson import parse_object, parse_responses
 
 # which measurement an event type stands for
@@ -29,6 +32,7 @@ SOURCES = {
 # which pollen type an event type stands for; the first two are unknown to the engine
 TYPES = {"error": "OTHER", "signup": "POLLEN_TYPE_UNSPECIFIED", "click": "TREE", "view": "GRASS", "purchase": "WEED"}
 PLANT_TYPES = {"GRAMINALES": "GRASS", "RAGWEED": "WEED", "MUGWORT": "WEED"}
+_PUBLISHED: dict[tuple[str, str], str] = {}
 CODES = (*PLANT_CODES, "PLANT_UNSPECIFIED", "BAMBOO")
 
 
@@ -166,11 +170,17 @@ def conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_conditions(wide(spark, sf_dir), stations(spark, sf_dir), pollen(spark, sf_dir))
 
 
-def weather_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``conditions`` without pollen, for the queries that do not look at it."""
-    joined = wide(spark, sf_dir).join(stations(spark, sf_dir), ["station_id", "wmo_station_id"])
-    empty = (F.lit(None).cast(f.dataType).alias(f.name) for f in POLLEN_FIELDS)
-    return joined.select("*", *empty).select(*CONDITIONS_SCHEMA.fieldNames())
+def published_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``conditions`` as published: written by day once per application and data set, then read.
+
+    The query surface works on published files, so that dates prune partitions and columns.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        root = work_folder(spark, "conditions")
+        write_verified(conditions(spark, sf_dir), root)
+        _PUBLISHED[key] = root
+    return read_published(spark, _PUBLISHED[key])
 
 
 def plain(df: DataFrame) -> DataFrame:

@@ -86,7 +86,8 @@ def wmo_stations(weather: DataFrame, master: DataFrame) -> Stations:
     A station without a master row, or with a name or coordinate missing or unreadable, is an
     error; a station with several master rows takes the first and is reported.
     """
-    described = describe_stations(stations_in_use(weather), master).persist()
+    in_use = stations_in_use(weather).persist()
+    described = describe_stations(in_use, master).persist()
     raise_if_any(described.where("n IS NULL"), "station_id", "Missing station master rows for station ids")
     raise_if_any(
         described.where(any_null(STATION_SCHEMA.fieldNames())),
@@ -94,8 +95,8 @@ def wmo_stations(weather: DataFrame, master: DataFrame) -> Stations:
         "Invalid required station master fields for station ids",
     )
     duplicates = described.where("n > 1").select("station_id").distinct()
-    count = duplicates.count()
     shown = [r[0] for r in duplicates.orderBy("station_id").limit(SHOWN_IDS).collect()]
+    count = len(shown) if len(shown) < SHOWN_IDS else duplicates.count()
     if count:
         log.warning("Duplicate station master rows, first row used: %d stations, %r", count, shown)
     return Stations(described.select(*STATION_SCHEMA.fieldNames()), shown, count)

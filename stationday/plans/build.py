@@ -67,10 +67,6 @@ class Warehouse:
     def pollen(self) -> str:
         return self._at("pollen_cleaned")
 
-    @property
-    def weather(self) -> str:
-        return self._at("daily_weather")
-
     @property
     def conditions(self) -> str:
         return self._at("daily_weather_conditions")
@@ -93,18 +89,26 @@ class BuildReport:
     duplicate_stations: list[str] = field(default_factory=list)
 
 
-def _overwrite(df: DataFrame, path: str, *partitions: str) -> DataFrame:
-    """Write a stage table by partition and read back its columns for the same partitions."""
-    df.hint("rebalance", *partitions).write.partitionBy(*partitions).mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
+def _keep(df: DataFrame, path: str) -> DataFrame:
+    """Write a table by snapshot and read it back.
+
+    Nothing is shuffled for it: a task reads the objects of a few days and writes files for those.
+    """
+    df.write.partitionBy("snapshot_date").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    return read_declared(df.sparkSession, path, df.schema)
+
+
+def _stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared work folder, as it is partitioned, and read it back."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
     return read_declared(df.sparkSession, path, df.schema)
 
 
 def clean_measurements(rows: DataFrame, warehouse: Warehouse, dates: list[dt.date]) -> DataFrame:
     """Clean the measurement rows, keep them as one table, and block on its checks."""
     table = clean.clean_measurements(rows)
-    cleaned = select_snapshots(_overwrite(table, warehouse.cleaned, "snapshot_date"), dates)
+    cleaned = select_snapshots(_keep(table, warehouse.cleaned), dates)
     clean.require_one_time(cleaned, SOURCE_KEY)
     expected = expected_groups(cleaned.sparkSession, dates)
     assert_checks(key_check(cleaned, SOURCE_KEY, expected=expected), "valid_daily_weather_key")
@@ -114,9 +118,7 @@ def clean_measurements(rows: DataFrame, warehouse: Warehouse, dates: list[dt.dat
 def clean_pollen(landed: DataFrame, warehouse: Warehouse, dates: list[dt.date]) -> DataFrame:
     """Clean the pollen envelopes, keep the table, and block on its checks."""
     payloads = landed.where(F.col("filename") == POLLEN_FILE).select("snapshot_date", "content")
-    pollen = select_snapshots(
-        _overwrite(clean.clean_pollen(payloads), warehouse.pollen, "snapshot_date"), dates
-    )
+    pollen = select_snapshots(_keep(clean.clean_pollen(payloads), warehouse.pollen), dates)
     expected = expected_groups(landed.sparkSession, dates, ("pollen",)).drop("source")
     assert_checks(pollen_value_check(pollen, ["snapshot_date"]), "valid_pollen_values")
     assert_checks(key_check(pollen, ["snapshot_date"], expected=expected), "valid_daily_weather_key")
@@ -174,8 +176,7 @@ def rebuild(
     rows = clean.measurement_file_rows(spark, folders) if folders else clean.landed_measurement_rows(landed)
     cleaned = clean_measurements(rows, warehouse, days)
     require_one_date(cleaned)
-    wide = wide_rows(cleaned, few_values(cleaned, "direction"))
-    weather = select_snapshots(_overwrite(wide, warehouse.weather, "snapshot_date"), days)
+    weather = _stage(wide_rows(cleaned, few_values(cleaned, "direction")), "daily_weather")
     require_consistent_ids(weather)
 
     stations = wmo_stations(weather, read_station_master(spark, station_master))
@@ -191,12 +192,6 @@ def rebuild(
     return BuildReport(run_id, written["partitions"], written["rows"], written["checksum"], stations.duplicate_ids)
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return read_declared(df.sparkSession, path, df.schema)
-
-
 def build(
     spark: SparkSession,
     warehouse: Warehouse,

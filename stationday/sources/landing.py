@@ -32,17 +32,30 @@ def payload_manifest(objects: DataFrame, key: str, content: str) -> DataFrame:
     )
 
 
+MAX_PAYLOAD_BYTES = 256 * 1024 * 1024
+
+
+def require_landable(files: DataFrame, max_bytes: int = MAX_PAYLOAD_BYTES) -> None:
+    """A landed object is one value, held by one task; larger files are to be read in place."""
+    large = [r.path for r in files.where(F.col("length") > max_bytes).select("path").limit(SHOWN_IDS).collect()]
+    if large:
+        raise ValueError(
+            f"Objects above {max_bytes} bytes cannot be landed: {large!r}. Measurement files of any size are read "
+            "in place (rebuild with measurements=...); large pollen envelopes are landed in several parts."
+        )
+
+
 def landing_rows(
     spark: SparkSession, incoming: str, downloaded_at: dt.datetime | None = None, pattern: str = OBJECT_KEY
 ) -> DataFrame:
     """The raw objects below ``incoming`` (``YYYYMMDD/filename``) as rows of the landing table.
 
-    Other files are left alone. A raw object has to fit into one value (2 GB); larger files are
-    read in place by ``rawcsv.file_rows``.
+    Other files are left alone.
     """
     files = file_payloads(spark, incoming, pattern).where(
         F.col("filename").isin(*RAW_FILENAMES) & F.col("snapshot_date").isNotNull()
     )
+    require_landable(files)
     urls = F.create_map(*(F.lit(x) for pair in SOURCE_URLS.items() for x in pair))
     is_pollen = F.col("filename") == POLLEN_FILE
     stamp = F.col("modificationTime") if downloaded_at is None else F.lit(downloaded_at)
