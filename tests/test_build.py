@@ -1,6 +1,6 @@
 import datetime as dt
-import json
 import glob
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,17 +9,16 @@ from fixtures import write_master, write_snapshot
 from stationday.errors import DataQualityError, MissingRawObjects
 from stationday.plans.build import Warehouse, build, published_files, rebuild
 from stationday.schemas import CONDITIONS_SCHEMA
-from stationday.sources.landing import read_landing
+from stationday.sources.landing import read_landing, require_landable
 from stationday.sources.published import read_published
+from stationday.sources.rawcsv import file_payloads
 
 DAY, NEXT = dt.date(2026, 9, 13), dt.date(2026, 9, 14)
 STATIONS = {"11001": "47401", "44132": "47662", "99999": ""}
 MASTER = [["11001", "宗谷岬", "45", "31.2", "141", "56.1"], ["44132", "東京①", "35", "41.5", "139", "45.0"]]
 
 
-@pytest.fixture()
-def master(tmp_path):
-    return write_master(str(tmp_path / "master.csv"), MASTER)
+REORDERED = {"precipitation": [3, 10, 9, 0, 1, 2, 4, 5, 6, 7, 8]}
 
 
 def published(spark, warehouse):
@@ -27,15 +26,31 @@ def published(spark, warehouse):
     return [row.asDict(recursive=True) for row in rows]
 
 
-def test_build_publishes_one_row_per_station_and_day(spark, tmp_path, master):
-    incoming = write_snapshot(str(tmp_path / "in"), DAY, STATIONS, hours={"min_temperature": "13"})
-    warehouse = Warehouse(str(tmp_path / "out"))
+@pytest.fixture(scope="module")
+def master(tmp_path_factory):
+    return write_master(str(tmp_path_factory.mktemp("master") / "master.csv"), MASTER)
+
+
+@pytest.fixture(scope="module")
+def incoming(tmp_path_factory):
+    """Two days; on the second the columns stand in another order and stations in the reverse."""
+    root = str(tmp_path_factory.mktemp("incoming"))
+    write_snapshot(root, DAY, STATIONS, hours={"min_temperature": "13"})
+    write_snapshot(root, NEXT, dict(list(STATIONS.items())[::-1]), orders=REORDERED, base=5.0)
+    return root
+
 
-    report = build(spark, warehouse, incoming, master, [DAY])
+@pytest.fixture(scope="module")
+def both(spark, tmp_path_factory, incoming, master):
+    warehouse = Warehouse(str(tmp_path_factory.mktemp("both")))
+    return warehouse, build(spark, warehouse, incoming, master, [DAY, NEXT])
 
+
+def test_build_publishes_one_row_per_station_and_day(spark, both):
+    warehouse, report = both
     rows = published(spark, warehouse)
-    assert report.rows == 2 and report.dates == [DAY] and report.duplicate_stations == []
-    assert [r["station_id"] for r in rows] == ["11001", "44132"]
+    assert report.rows == 4 and report.dates == [DAY, NEXT] and report.duplicate_stations == []
+    assert [(r["date"], r["station_id"]) for r in rows] == [(d, s) for d in (DAY, NEXT) for s in ("11001", "44132")]
     first = rows[0]
     assert list(first) == CONDITIONS_SCHEMA.fieldNames()
     assert first["station_name"] == "宗谷岬" and first["latitude"] == pytest.approx(45.52)
@@ -45,61 +60,57 @@ def test_build_publishes_one_row_per_station_and_day(spark, tmp_path, master):
         "plants": [{"code": "ALDER", "value": 2}, {"code": "CYPRESS_PINE", "value": 4}],
     }
     assert first["grass_info"] is None
-    shown = read_published(spark, warehouse.conditions).select(F.date_format("observed_at", "HH:mm")).first()[0]
-    assert shown == "04:00"  # 13:00 in Japan, the oldest hour; the session is in UTC
-    manifest = read_landing(spark, warehouse.landing)
-    assert manifest.count() == 6
-    assert published_files(spark, warehouse).count() >= 1
-    documents = glob.glob(f"{warehouse.geojson}/date=2026-09-13/part-*.txt")
-    document = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(documents)))
+    hour = read_published(spark, warehouse.conditions).where(F.col("date") == F.lit(DAY))
+    assert hour.select(F.date_format("observed_at", "HH:mm")).first()[0] == "04:00"  # 13:00 in Japan
+    assert read_landing(spark, warehouse.landing).count() == 12
+    assert {f.day for f in published_files(spark, warehouse).collect()} == {"2026-09-13", "2026-09-14"}
+
+
+def test_build_writes_a_document_per_day(spark, both):
+    warehouse, _ = both
+    parts = glob.glob(f"{warehouse.geojson}/date=2026-09-13/part-*.txt")
+    document = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(parts)))
     assert [f["properties"]["station_id"] for f in document["features"]] == ["11001", "44132"]
-    assert document["features"][1]["geometry"] == {"type": "Point", "coordinates": [139.75, rows[1]["latitude"]]}
-    metrics = {(r.table_name, r.metric): r.value for r in spark.read.parquet(warehouse.metrics).collect()}
+    latitude = published(spark, warehouse)[1]["latitude"]
+    assert document["features"][1]["geometry"] == {"type": "Point", "coordinates": [139.75, latitude]}
+
+
+def test_build_records_metrics(spark, both):
+    warehouse, report = both
+    rows = spark.read.parquet(warehouse.metrics).where(F.col("snapshot_date") == F.lit(DAY)).collect()
+    metrics = {(r.table_name, r.metric): r.value for r in rows}
+    assert {r.run_id for r in rows} == {report.run_id}
     assert metrics["cleaned.precipitation", "row_count"] == "3"
+    assert metrics["cleaned.max_gust", "null_count"] == "0"
     assert metrics["daily_weather", "observed_at"] == "2026-09-13T13:00:00+09:00"
     assert metrics["daily_weather", "differs"] == "true"
     assert metrics["pollen_cleaned", "null_grass_info_count"] == "2"
 
 
-def test_many_days_equal_single_day_runs(spark, tmp_path, master):
-    incoming = str(tmp_path / "in")
-    write_snapshot(incoming, DAY, STATIONS)
-    reordered = {"precipitation": [3, 10, 9, 0, 1, 2, 4, 5, 6, 7, 8]}
-    write_snapshot(incoming, NEXT, dict(list(STATIONS.items())[::-1]), orders=reordered, base=5.0)
-    both, one, two = (Warehouse(str(tmp_path / n)) for n in ("both", "one", "two"))
-
-    build(spark, both, incoming, master, [DAY, NEXT])
+def test_many_days_equal_single_day_runs(spark, tmp_path, both, incoming, master):
+    one, two = Warehouse(str(tmp_path / "one")), Warehouse(str(tmp_path / "two"))
     build(spark, one, incoming, master, [DAY])
     build(spark, two, incoming, master, [NEXT])
+    assert published(spark, both[0]) == published(spark, one) + published(spark, two)
 
-    assert published(spark, both) == published(spark, one) + published(spark, two)
+    # a rebuild reads what is landed; measurements may also be read in place
+    before = published(spark, one)
+    rebuild(spark, one, master, [DAY], measurements=incoming)
+    assert published(spark, one) == before
 
+    # a day built again replaces itself
+    changed = write_snapshot(str(tmp_path / "in"), DAY, STATIONS, base=1.0)
+    build(spark, one, changed, master, [DAY])
+    after = published(spark, one)
+    assert len(after) == 2 and after[0]["precipitation_mm"] == 1.0
 
-def test_rebuild_reads_landed_objects_only_and_replaces_its_day(spark, tmp_path, master):
-    incoming = str(tmp_path / "in")
-    write_snapshot(incoming, DAY, STATIONS)
-    write_snapshot(incoming, NEXT, STATIONS)
-    warehouse = Warehouse(str(tmp_path / "out"))
-    build(spark, warehouse, incoming, master, [DAY, NEXT])
-    before = published(spark, warehouse)
 
+def test_rebuild_needs_no_incoming_files(spark, both, master):
+    warehouse, _ = both
+    before = published(spark, warehouse)
     rebuild(spark, warehouse, master, [NEXT])
     assert published(spark, warehouse) == before
 
-    write_snapshot(incoming, NEXT, STATIONS, base=1.0)
-    build(spark, warehouse, incoming, master, [NEXT])
-    after = published(spark, warehouse)
-    assert after[:2] == before[:2] and after[2]["precipitation_mm"] == 1.0 and len(after) == 4
-
-
-def test_measurements_can_be_read_in_place(spark, tmp_path, master):
-    incoming = write_snapshot(str(tmp_path / "in"), DAY, STATIONS)
-    landed, direct = Warehouse(str(tmp_path / "a")), Warehouse(str(tmp_path / "b"))
-    build(spark, landed, incoming, master, [DAY])
-    build(spark, direct, incoming, master, [DAY])
-    rebuild(spark, direct, master, [DAY], measurements=incoming)
-    assert published(spark, landed) == published(spark, direct)
-
 
 @pytest.mark.parametrize("lacking", ["max_wind.csv", "pollen.json"])
 def test_missing_object_stops_the_build(spark, tmp_path, master, lacking):
@@ -123,7 +134,7 @@ def test_failed_check_blocks_but_keeps_the_cleaned_table(spark, tmp_path, master
 
     assert [(f["source"], f["duplicate_key_count"]) for f in caught.value.failures] == [("max_gust", 1)]
     assert spark.read.parquet(warehouse.cleaned).where("source = 'max_gust'").count() == 4
-    assert not glob.glob(f"{warehouse.weather}*")
+    assert not glob.glob(f"{warehouse.pollen}*") and not glob.glob(f"{warehouse.conditions}*")
 
 
 def test_station_without_pollen_blocks_publishing(spark, tmp_path, master):
@@ -137,3 +148,10 @@ def test_station_without_pollen_blocks_publishing(spark, tmp_path, master):
     with pytest.raises(DataQualityError, match="do not match.*44132"):
         build(spark, warehouse, incoming, master, [DAY])
     assert not glob.glob(f"{warehouse.conditions}*")
+
+
+def test_large_objects_are_not_landed(spark, incoming):
+    files = file_payloads(spark, incoming)
+    require_landable(files)
+    with pytest.raises(ValueError, match="cannot be landed.*measurements="):
+        require_landable(files, max_bytes=10)
