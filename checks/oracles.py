@@ -182,8 +182,8 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS station_id, {DEGREES} FROM customer)"
     "lenient_cast": f"""SELECT page_id, part, CASE WHEN regexp_matches(part, '{NUMBER}') THEN TRY_CAST(part AS DOUBLE) END
   AS number FROM (SELECT page_id, regexp_extract(url, '/([^/?#]*)(?:[?#].*)?$', 1) AS part FROM pages)""",
     "strict_cast": "SELECT l_orderkey, l_linenumber, l_extendedprice AS price, l_partkey AS part FROM lineitem",
-    "csv_line_fields": "SELECT doc_id, CAST(4 AS BIGINT) AS width, lang, sha256(text) AS text_sha256, source "
-    "FROM documents",
+    "csv_line_fields": f"SELECT doc_id, CAST(4 AS BIGINT) AS width, lang, sha256(trim(text, '{WHITE_SPACE}')) AS text_sha256, "
+    "source FROM documents",
     "observed_hour": f"SELECT event_id, {_ts('date_trunc(' + repr('hour') + ', ts)', 'hour')} FROM events",
     "hour24": """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date,
   strftime(date_trunc('day', o_orderdate) + to_hours(CAST(o_orderkey % 25 AS INTEGER)), '%Y-%m-%dT%H:00:00+09:00')

@@ -21,7 +21,7 @@ from checks.standins import (
     table,
     wide,
 )
-from stationday.functions.text import csv_fields, csv_value, lenient_double, strict_cast, strip_text
+from stationday.functions.text import csv_fields, lenient_double, strict_cast, strip_text
 from stationday.functions.time import (
     PARTS,
     floor_hour,
@@ -63,7 +63,8 @@ from stationday.sinks.metrics import metric_rows
 from stationday.sinks.parquet import write_verified
 from stationday.sources.landing import payload_manifest, write_landing, landing_rows
 from stationday.sources.published import read_declared, read_published
-from stationday.sources.rawjson import parse_object, pollen_results
+from stationday.sources.rawcsv import WHOLE_FILE_BYTES
+from stationday.sources.rawjson import parse_object
 
 DAY = dt.date(2024, 1, 5)
 POINT = (35.0, 139.0)
@@ -151,9 +152,9 @@ def csv_line_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fields.select(
         "doc_id",
         F.size("f").cast("long").alias("width"),
-        csv_value(F.col("f")[0]).alias("lang"),
-        F.sha2(csv_value(F.col("f")[1]), 256).alias("text_sha256"),
-        csv_value(F.col("f")[2]).alias("source"),
+        F.col("f")[0].alias("lang"),
+        F.sha2(F.col("f")[1], 256).alias("text_sha256"),
+        F.col("f")[2].alias("source"),
     )
 
 
@@ -512,7 +513,7 @@ QUERIES = {
     "union_by_name": union_by_name,
     "geojson_roundtrip": geojson_roundtrip,
     "geojson_documents": geojson_documents,
-    "raw_csv_roundtrip": _raw_roundtrip(whole_file_bytes=64 * 1024 * 1024),
+    "raw_csv_roundtrip": _raw_roundtrip(whole_file_bytes=WHOLE_FILE_BYTES),
     "raw_csv_split_roundtrip": _raw_roundtrip(whole_file_bytes=0),
     "full_rebuild": full_rebuild,
 }

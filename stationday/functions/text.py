@@ -42,33 +42,34 @@ def lenient_double(col: Column) -> Column:
 
 
 def csv_fields(line: Column) -> Column:
-    """The fields of one CSV line, still quoted where they were (see ``csv_value``).
+    """The trimmed fields of one CSV line, outer quotes removed and doubled quotes single.
 
-    Plain lines are split directly. In lines with quotes the separating commas are found
-    first; a quote that does not close, or text next to a quoted field, is an error.
+    Lines without quotes and white space, nearly all of them, are only split. In the others the
+    separating commas are found first; a quote that does not close, or text next to a quoted field,
+    is an error.
     """
+    plain = ~line.rlike(r'(?U)["\s]')
+    return F.when(plain, F.split(line, ",")).otherwise(F.transform(_quoted_fields(line), _field_text))
+
+
+def _quoted_fields(line: Column) -> Column:
     marked = F.regexp_replace(
         F.concat(F.lit(","), line),
         r',("[^"]*+(?:""[^"]*+)*+"(?=,|\z)|[^,"]*+(?=,|\z))',
         _FIELD_MARK + "$1",
     )
-    quoted = F.split(F.substr(marked, F.lit(2)), _FIELD_MARK)
     # every comma outside quotes became a mark; quoted commas stay between their quotes
     leftover = F.regexp_replace(marked, _FIELD_MARK + r'(?:"[^"]*+(?:""[^"]*+)*+"|[^,"' + _FIELD_MARK + r"]*+)", "")
-    return (
-        F.when(~F.contains(line, F.lit('"')), F.split(line, ","))
-        .when(
-            (leftover != "") | F.contains(line, F.lit(_FIELD_MARK)),
-            F.raise_error(F.concat(F.lit("Malformed quotes in CSV line: "), line)).cast("array<string>"),
-        )
-        .otherwise(quoted)
-    )
+    message = F.concat(F.lit("Malformed quotes in CSV line: "), line)
+    return F.when(
+        (leftover != "") | F.contains(line, F.lit(_FIELD_MARK)), F.raise_error(message).cast("array<string>")
+    ).otherwise(F.split(F.substr(marked, F.lit(2)), _FIELD_MARK))
 
 
-def csv_value(field: Column) -> Column:
-    """The text of one field: outer quotes removed, doubled quotes single."""
+def _field_text(field: Column) -> Column:
     inner = F.substr(field, F.lit(2), F.length(field) - 2)
-    return F.when(F.startswith(field, F.lit('"')), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+    text = F.when(F.startswith(field, F.lit('"')), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def column_position(header: Column, pattern: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stationday.errors import DataQualityError
 from stationday.functions.pollen import known_plants, known_types, pollen_group, single_day
-from stationday.functions.text import strict_cast, strip_text
+from stationday.functions.text import strict_cast
 from stationday.functions.time import with_observation_time
 from stationday.operators.joins import SHOWN_IDS
 from stationday.schemas import (
@@ -77,9 +77,8 @@ def clean_measurements(rows: DataFrame) -> DataFrame:
 
     ``observed_text`` keeps the time as it was written, for ``time_conflicts``.
     """
-    trimmed = rows.select(KEY, "filename", *(strip_text(F.col(c)).alias(c) for c in (*IDS, *SLOTS, *TIME_HEADERS)))
     texts = (F.coalesce(F.col(t), F.lit("NULL")) for t in TIME_HEADERS)
-    timed = with_observation_time(trimmed.withColumn(TIME_TEXT, F.concat_ws(" ", *texts)))
+    timed = with_observation_time(rows.withColumn(TIME_TEXT, F.concat_ws(" ", *texts)))
     measures = (
         strict_cast(F.col(name), dtype, F.concat(F.col("filename"), F.lit(f" {name}"))).alias(name)
         for name, dtype in SLOTS.items()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationday.functions.geo import decimal_degrees
-from stationday.functions.text import csv_fields, csv_value, lenient_double, strip_text
+from stationday.functions.text import csv_fields, lenient_double
 from stationday.operators.joins import SHOWN_IDS, broadcast_if_small, raise_if_any
 from stationday.operators.quality import any_null
 from stationday.schemas import STATION_MASTER_CHARSET, STATION_MASTER_HEADERS, STATION_SCHEMA
@@ -32,13 +32,13 @@ def read_station_master(spark: SparkSession, path: str) -> DataFrame:
     payload = spark.read.format("binaryFile").load(path).select("path", "content")
     with java_charsets(spark):
         texts = payload.select(F.decode("content", STATION_MASTER_CHARSET).alias("text"))
-    header = texts.select(F.explode(csv_fields(F.split("text", r"\r\n|\n|\r")[0])).alias("name"))
-    names = header.select(csv_value(F.col("name")).alias("name")).distinct().collect()
+    first_lines = texts.select(F.split("text", r"\r\n|\n|\r")[0].alias("line"))
+    names = first_lines.select(F.explode(csv_fields(F.col("line"))).alias("name")).distinct().collect()
     if lacking := missing_columns([row.name for row in names]):
         raise ValueError(f"Missing required station master columns: {lacking!r}")
     columns = {target: re.escape(name) for target, name in STATION_MASTER_HEADERS.items()}
     rows = payload_rows(payload, STATION_MASTER_CHARSET, columns)
-    return rows.select(F.struct("path", "row_no").alias("place"), *(strip_text(F.col(c)).alias(c) for c in columns))
+    return rows.select(F.struct("path", "row_no").alias("place"), *columns)
 
 
 def stations_in_use(weather: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationday.functions.text import column_position, csv_fields, csv_value
+from stationday.functions.text import column_position, csv_fields
 from stationday.functions.time import snapshot_date
 from stationday.operators.joins import broadcast_if_small
 from stationday.session import java_charsets
@@ -23,7 +23,7 @@ from stationday.session import java_charsets
 # target names to header patterns; a pattern may depend on ``filename``, so it may be a Column
 Columns = Mapping[str, str | Column]
 
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
+WHOLE_FILE_BYTES = 16 * 1024 * 1024
 _LINE_BREAK = r"\r\n|\n|\r"
 OBJECT_KEY = r"(?:^|/)(\d{8})/([^/]+)$"
 
@@ -47,6 +47,7 @@ def _layout(header: Column, columns: Columns) -> Column:
 
 
 def _select_fields(lines: DataFrame, columns: Columns, keep: list[str]) -> DataFrame:
+    """The wanted fields of each line as trimmed texts, NULL where empty."""
     message = F.concat(
         F.lit("Expected "),
         F.col("layout.width"),
@@ -58,12 +59,9 @@ def _select_fields(lines: DataFrame, columns: Columns, keep: list[str]) -> DataF
     checked = F.when(F.size("fields") == F.col("layout.width"), F.col("fields")).otherwise(
         F.raise_error(message).cast("array<string>")
     )
+    texts = (F.nullif(F.get("fields", F.col(f"layout.{t}") - 1), F.lit("")).alias(t) for t in columns)
     return (
-        lines.where("line <> ''")
-        .withColumn("fields", csv_fields(F.col("line")))
-        .withColumn("fields", checked)
-        .select(*keep, *(F.element_at("fields", F.col(f"layout.{t}")).alias(t) for t in columns))
-        .select(*keep, *(csv_value(F.col(t)).alias(t) for t in columns))
+        lines.withColumn("fields", csv_fields(F.col("line"))).withColumn("fields", checked).select(*keep, *texts)
     )
 
 
@@ -79,8 +77,9 @@ def payload_rows(payloads: DataFrame, charset: str, columns: Columns) -> DataFra
     lines = (
         decoded.withColumn("header", csv_fields(F.col("lines")[0]))
         .select(*keep, _layout(F.col("header"), columns).alias("layout"), "lines")
-        .select(*keep, "layout", F.posexplode("lines").alias("row_no", "line"))
-        .where("row_no > 0")
+        # the outer form: for the inner one Spark would infer a filter that decodes the payload again
+        .select(*keep, "layout", F.posexplode_outer("lines").alias("row_no", "line"))
+        .where("row_no > 0 AND line <> ''")
     )
     return _select_fields(lines, columns, [*keep, "row_no"])
 
@@ -123,7 +122,7 @@ def split_rows(
         reader = reader.option("pathGlobFilter", only)
     raw = (
         reader.text(path)
-        .where(F.col("_metadata.file_size") > min_bytes)
+        .where((F.col("_metadata.file_size") > min_bytes) & (F.col("value") != ""))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block_start"),
