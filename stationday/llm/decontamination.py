@@ -118,30 +118,45 @@ def _weighted(value: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.nd
     return at, (tfidf / max(np.linalg.norm(tfidf), 1e-9)).astype(np.float32)
 
 
-def latent_space(parts: DataFrame, weights: np.ndarray, rank: int = RANK, rounds: int = 2) -> np.ndarray:
-    """Right singular vectors (terms by rank) of all passages: randomised subspace iteration.
+def used_terms(parts: DataFrame) -> np.ndarray:
+    """The distinct terms of all passages, sorted; at most ``TERMS``."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(TERMS, bool)
+        for batch in batches:
+            for value in batch.column(0):
+                seen[_terms(value)] = True
+        yield pa.record_batch([pa.array(np.flatnonzero(seen), pa.int32())], names=["term"])
+
+    found = parts.select("terms").mapInArrow(rows, "term int").distinct().collect()
+    return np.sort(np.array([r["term"] for r in found], np.int64))
+
+
+def latent_space(parts: DataFrame, weights: np.ndarray, used: np.ndarray, rank: int = RANK, rounds: int = 2) -> np.ndarray:
+    """Right singular vectors (used terms by rank) of all passages: randomised subspace iteration.
 
     Each round multiplies by the passage matrix and its transpose, one partition at a time, and sums the
-    partitions' rows of terms in Spark; only a matrix of fixed size, terms by rank, reaches the driver.
+    partitions' rows of terms in Spark; only a matrix of used terms by rank, of bounded size, reaches the driver.
     """
     spark = parts.sparkSession
     width = rank + EXTRA
+    rows_of = -(-max(1, len(used)) // _STRIPE) * _STRIPE  # whole stripes
 
     def multiplied(basis: np.ndarray) -> np.ndarray:
-        held = spark.sparkContext.broadcast((weights, basis))
+        held = spark.sparkContext.broadcast((weights, used, basis))
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            weights, basis = held.value
-            sums = np.zeros((TERMS, width), np.float32)
+            weights, used, basis = held.value
+            sums = np.zeros((rows_of, width), np.float32)
             for batch in batches:
                 for value in batch.column(0):
-                    at, tfidf = _weighted(_terms(value), weights)
-                    if len(at):
-                        sums[at] += np.outer(tfidf, tfidf @ basis[at])
+                    terms, tfidf = _weighted(_terms(value), weights)
+                    at = np.searchsorted(used, terms)
+                    sums[at] += np.outer(tfidf, tfidf @ basis[at])
             stripes = sums.reshape(-1, _STRIPE * width)
-            used = np.flatnonzero(stripes.any(1))
+            filled = np.flatnonzero(stripes.any(1))
             yield pa.record_batch(
-                [pa.array(used, pa.int32()), pa.array([stripes[i].tobytes() for i in used], pa.binary())], names=["stripe", "values"]
+                [pa.array(filled, pa.int32()), pa.array([stripes[i].tobytes() for i in filled], pa.binary())], names=["stripe", "values"]
             )
 
         def added(rows):
@@ -151,23 +166,19 @@ def latent_space(parts: DataFrame, weights: np.ndarray, rank: int = RANK, rounds
             return rows
 
         schema = "stripe int, values binary"
-        out = np.zeros((TERMS // _STRIPE, _STRIPE * width), np.float32)
+        out = np.zeros((rows_of // _STRIPE, _STRIPE * width), np.float32)
         for row in parts.select("terms").mapInArrow(partial, schema).groupBy("stripe").applyInPandas(added, schema).collect():
             out[row["stripe"]] = np.frombuffer(row["values"], np.float32)
         held.unpersist()
-        return out.reshape(TERMS, width)
+        return out.reshape(rows_of, width)
 
-    basis = np.random.default_rng(11).standard_normal((TERMS, width), np.float32)
+    basis = np.random.default_rng(11).standard_normal((rows_of, width), np.float32)
     for _ in range(rounds):
-        product = multiplied(basis)
-        used = np.flatnonzero(product.any(1))
-        basis = np.zeros((TERMS, width), np.float32)
-        if not len(used):
-            return basis[:, :rank]
-        q = np.linalg.qr(product[used].astype(np.float64))[0]
-        basis[used, : q.shape[1]] = q
+        q = np.linalg.qr(multiplied(basis))[0]
+        basis = np.zeros((rows_of, width), np.float32)
+        basis[:, : q.shape[1]] = q
     _, vectors = np.linalg.eigh(basis.T.astype(np.float64) @ multiplied(basis))
-    return (basis @ vectors[:, ::-1][:, :rank]).astype(np.float32)
+    return (basis @ vectors[:, ::-1][:, :rank]).astype(np.float32)[: len(used)]
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -187,18 +198,21 @@ class Index:
     """Passages in the latent space, by the number of blocks of the windows they are searched in."""
 
     weights: np.ndarray
+    used: np.ndarray
     space: np.ndarray
     items: list
     terms: list[np.ndarray]
     answers: list[np.ndarray]
 
     def __post_init__(self):
-        self.used = np.abs(self.space).any(1) & (self.weights > 0)
+        self.row = np.full(TERMS, -1, np.int64)  # of each term in the space, where it weighs anything
+        weighing = (self.weights[self.used] > 0) & np.abs(self.space).any(1)
+        self.row[self.used[weighing]] = np.flatnonzero(weighing)
         vectors = np.zeros((len(self.terms), self.space.shape[1]), np.float32)
         self.places = np.full((len(self.terms), PASSAGE), TERMS, np.int64)  # TERMS: no word
         for i, t in enumerate(self.terms):
             at, tfidf = _weighted(t, self.weights)
-            vectors[i] = tfidf @ self.space[at]
+            vectors[i] = tfidf @ self.space[np.searchsorted(self.used, at)]
             self.places[i, : len(t)] = t
         self.lengths = np.linalg.norm(vectors, axis=1)
         self.unit = vectors / np.maximum(self.lengths, 1e-9)[:, None]
@@ -222,12 +236,13 @@ class Index:
         starts = (ends - sizes)[owner] + (np.arange(len(owner)) - first_block[owner]) * BLOCK
         weights = self.weights[terms]
         squares = np.concatenate([[0.0], np.cumsum(np.add.reduceat(weights * weights, starts), dtype=np.float64)])
-        at = np.flatnonzero(self.used[terms])
+        row = self.row[terms]
+        at = np.flatnonzero(row >= 0)
         if not len(at):
             return found
         touched, first = np.unique(np.searchsorted(starts, at, side="right") - 1, return_index=True)
         sums = np.zeros((len(starts) + 1, self.space.shape[1]), np.float64)
-        sums[touched + 1] = np.add.reduceat(self.space[terms[at]] * weights[at, None], first)
+        sums[touched + 1] = np.add.reduceat(self.space[row[at]] * weights[at, None], first)
         np.cumsum(sums, 0, out=sums)
         last_block = (first_block + blocks)[owner]
         for width, group in self.groups:
@@ -278,7 +293,8 @@ def search(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame
         answers = term_rows(benchmark, "item_id", "answer").withColumnRenamed("terms", "answer_terms")
         items = items.join(answers.dropDuplicates(["item_id"]), "item_id", "left")
     parts = stage(passages(items), "passages")
-    space = latent_space(parts, weights, rank)
+    used = used_terms(parts)
+    space = latent_space(parts, weights, used, rank)
     passes = -(-parts.count() // PASSAGES_AT_ONCE) or 1
     kind = dict(benchmark.dtypes)["item_id"]
     results = None
@@ -286,7 +302,7 @@ def search(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame
         rows = parts.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(passes)) == k).orderBy("item_id", "terms").collect()
         numbers = [np.frombuffer(r["terms"], np.uint16) for r in rows]
         held = spark.sparkContext.broadcast(
-            Index(weights, space, [r["item_id"] for r in rows], numbers, [np.frombuffer(r["answer"], np.uint16) for r in rows])
+            Index(weights, used, space, [r["item_id"] for r in rows], numbers, [np.frombuffer(r["answer"], np.uint16) for r in rows])
         )
 
         def searched(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
