@@ -118,7 +118,7 @@ def blocks_of(html: str) -> list[Block]:
             if tag in _BOILERPLATE or (tag == "header" and not article) or _MARKED.search(names) or _HIDDEN.search(attributes):
                 boilerplate = boilerplate or tag != "body"
             held.append((tag, article, boilerplate))
-    parts.append(html[at:] if not html[at:].startswith("<") else "")  # a tag cut off by the end is no text
+    parts.append(re.sub(r"<[a-zA-Z/!?][^>]*\Z", "", html[at:]))  # a tag cut off by the end is no text
     flush()
     return out
 
