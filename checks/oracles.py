@@ -173,11 +173,11 @@ ORACLES = {
     "sql_nearest": _nearest(f"date = {DAY}"),
     "sql_adhoc": f"""WITH {WEATHER}
 SELECT station_name, count(*) AS days, max(max_temperature_c) AS hottest FROM weather
-WHERE max_temperature_c > 20 GROUP BY 1 ORDER BY 1 LIMIT 1000""",
+WHERE max_temperature_c > 20 GROUP BY 1""",
     "dms_to_decimal": f"""SELECT station_id, round(latitude, 9) AS latitude, round(longitude, 9) AS longitude
 FROM (SELECT CAST(c_custkey AS VARCHAR) AS station_id, {DEGREES} FROM customer)""",
     "strip_text": f"""SELECT page_id,
-  nullif(trim(regexp_extract(html, '<title>([^<]*)</title>', 1), '{WHITE_SPACE}'), '') AS title,
+  sha256(nullif(trim(html, '{WHITE_SPACE}'), '')) AS html,
   CAST(NULL AS VARCHAR) AS blank FROM pages""",
     "lenient_cast": f"""SELECT page_id, part, CASE WHEN regexp_matches(part, '{NUMBER}') THEN TRY_CAST(part AS DOUBLE) END
   AS number FROM (SELECT page_id, regexp_extract(url, '/([^/?#]*)(?:[?#].*)?$', 1) AS part FROM pages)""",
@@ -229,8 +229,8 @@ SELECT CAST(date AS VARCHAR) AS snapshot_date, 'cleaned.' || source AS table_nam
 FROM u""",
     "key_mismatches": f"""WITH {EV} SELECT station_id, {_date()}, left_rows, right_rows FROM (
   SELECT station_id, date, count(*) FILTER (WHERE event_type = 'click') AS left_rows,
-         count(*) FILTER (WHERE event_type = 'view') AS right_rows
-  FROM ev WHERE event_type IN ('click', 'view') GROUP BY 1, 2) WHERE left_rows <> 1 OR right_rows <> 1""",
+         count(*) FILTER (WHERE event_type <> 'click') AS right_rows
+  FROM ev GROUP BY 1, 2) WHERE left_rows <> 1 OR right_rows <> 1""",
     "missing_master": """SELECT DISTINCT CAST(user_id AS VARCHAR) AS station_id FROM events
 WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)""",
     "first_duplicate": f"""WITH {EV}, f AS (SELECT station_id, min(event_id) AS event_id, count(*) AS n FROM ev GROUP BY 1)

@@ -103,7 +103,7 @@ def nearest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql(text: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         sql.register_view(published_conditions(spark, sf_dir))
-        return plain(sql.fetch(spark, text).drop(*POLLEN_COLUMNS.values()))
+        return plain(spark.sql(text).drop(*POLLEN_COLUMNS.values()))
 
     return run
 
@@ -117,10 +117,10 @@ def dms_to_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strip_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = F.regexp_extract("html", r"<title>([^<]*)</title>", 1)
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", title.alias("title"))
-    padded = pages.select("page_id", F.concat(F.lit(PAD), "title", F.lit(PAD)).alias("t"), F.lit(PAD).alias("blank"))
-    return padded.select("page_id", strip_text(F.col("t")).alias("title"), strip_text(F.col("blank")).alias("blank"))
+    """Whole pages between white space, and white space alone."""
+    pages = table(spark, sf_dir, "pages")
+    padded = pages.select("page_id", F.concat(F.lit(PAD), "html", F.lit(PAD)).alias("t"), F.lit(PAD).alias("blank"))
+    return padded.select("page_id", F.sha2(strip_text(F.col("t")).cast("binary"), 256).alias("html"), strip_text(F.col("blank")).alias("blank"))
 
 
 def lenient_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,10 +238,10 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def key_set_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of one measurement against keys of another."""
+    """Keys of one measurement against keys of all others."""
     long = long_events(spark, sf_dir)
-    left, right = (long.where(F.col("source") == s) for s in ("max_temperature", "min_temperature"))
-    return plain(key_mismatches(left, right, ["station_id", "date"]))
+    first = F.col("source") == "max_temperature"
+    return plain(key_mismatches(long.where(first), long.where(~first), ["station_id", "date"]))
 
 
 # --- stations

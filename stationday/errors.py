@@ -2,11 +2,12 @@
 
 
 class DataQualityError(ValueError):
-    """A blocking check failed; ``failures`` holds the failing rows (at most a page of them)."""
+    """A blocking check failed; ``failures`` holds the first failing rows, ``total`` counts them all."""
 
-    def __init__(self, message: str, failures: list | None = None):
+    def __init__(self, message: str, failures: list | None = None, total: int | None = None):
         super().__init__(message)
         self.failures = failures or []
+        self.total = len(self.failures) if total is None else total
 
 
 class MissingRawObjects(FileNotFoundError):

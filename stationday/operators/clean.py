@@ -18,7 +18,7 @@ from stationday.errors import DataQualityError
 from stationday.functions.pollen import known_plants, known_types, pollen_group, single_day
 from stationday.functions.text import strict_cast
 from stationday.functions.time import with_observation_time
-from stationday.operators.joins import SHOWN_IDS
+from stationday.operators.joins import first_and_total, in_all
 from stationday.schemas import (
     LONG_SCHEMA,
     MEASUREMENT_BY_NAME,
@@ -125,10 +125,10 @@ def time_conflicts(cleaned: DataFrame, groups: list[str]) -> DataFrame:
 
 
 def require_one_time(cleaned: DataFrame, groups: list[str]) -> None:
-    found = time_conflicts(cleaned, groups).orderBy(*groups).limit(SHOWN_IDS).collect()
-    if found:
+    found, total = first_and_total(time_conflicts(cleaned, groups), *groups)
+    if total:
         shown = "; ".join(f"{', '.join(str(r[g]) for g in groups)}: {r['first']} … {r['last']}" for r in found)
-        raise DataQualityError(f"Expected one observation time per file, found several in {shown}", failures=found)
+        raise DataQualityError(f"Expected one observation time per file, found several in {shown}{in_all(found, total)}", failures=found, total=total)
 
 
 def clean_pollen_results(results: DataFrame) -> DataFrame:

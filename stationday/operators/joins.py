@@ -42,9 +42,17 @@ def keys_without_match(df: DataFrame, master: DataFrame, keys: list[str]) -> Dat
 
 def raise_if_any(df: DataFrame, id_column: str, message: str) -> None:
     """Raise an error that names offending ids (the first of them, in order) and counts them all."""
-    ids = [row[0] for row in df.select(id_column).distinct().orderBy(id_column).limit(SHOWN_IDS + 1).collect()]
-    if not ids:
-        return
-    shown = ids[:SHOWN_IDS]
-    more = "" if len(ids) <= SHOWN_IDS else f" and more, {df.select(id_column).distinct().count()} in all"
-    raise DataQualityError(f"{message}: {shown!r}{more}", failures=shown)
+    shown, total = first_and_total(df.select(id_column).distinct(), id_column)
+    if total:
+        ids = [row[0] for row in shown]
+        raise DataQualityError(f"{message}: {ids!r}{in_all(ids, total)}", failures=ids, total=total)
+
+
+def first_and_total(df: DataFrame, *order: str) -> tuple[list, int]:
+    """The first rows of a table of failures, for a message, and how many there are."""
+    shown = df.orderBy(*order).limit(SHOWN_IDS).collect()
+    return shown, len(shown) if len(shown) < SHOWN_IDS else df.count()
+
+
+def in_all(shown: list, total: int) -> str:
+    return "" if total <= len(shown) else f" and more, {total} in all"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationday.errors import DataQualityError
-from stationday.operators.joins import SHOWN_IDS, duplicate_keys, per_date, raise_if_any
+from stationday.operators.joins import duplicate_keys, first_and_total, in_all, per_date, raise_if_any
 from stationday.operators.quality import date_conflicts
 from stationday.schemas import DAILY_WEATHER_SCHEMA, MEASUREMENTS, SLOTS
 
@@ -60,12 +60,13 @@ def wide_rows(cleaned: DataFrame, directions: list[str] | None = None) -> DataFr
 
 
 def require_one_date(cleaned: DataFrame) -> None:
-    found = date_conflicts(cleaned).orderBy("snapshot_date").limit(SHOWN_IDS).collect()
-    if found:
+    found, total = first_and_total(date_conflicts(cleaned), "snapshot_date")
+    if total:
+        shown = "; ".join(f"{r['snapshot_date']}: {r['first']} … {r['last']}" for r in found)
         raise DataQualityError(
-            "Daily weather requires one shared observation date per snapshot: "
-            + "; ".join(f"{r.snapshot_date}: {r.first} … {r.last}" for r in found),
+            f"Daily weather requires one shared observation date per snapshot: {shown}{in_all(found, total)}",
             failures=found,
+            total=total,
         )
 
 

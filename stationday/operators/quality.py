@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from stationday.errors import DataQualityError
 from stationday.functions.pollen import invalid_plant_values, invalid_type_values
 from stationday.functions.time import iso_timestamp
-from stationday.operators.joins import SHOWN_IDS
+from stationday.operators.joins import first_and_total, in_all
 from stationday.schemas import MEASUREMENTS, POLLEN_COLUMNS
 
 KEY_COUNTS = ("null_key_row_count", "duplicate_key_count", "date_count", "observed_at_count")
@@ -86,9 +86,11 @@ def pollen_value_check(df: DataFrame, groups: list[str]) -> DataFrame:
 
 def assert_checks(result: DataFrame, name: str) -> None:
     """Block: raise with the counts of failing groups, so that nothing downstream is built."""
-    failed = [row.asDict() for row in result.where(~F.coalesce("passed", F.lit(False))).limit(SHOWN_IDS).collect()]
-    if failed:
-        raise DataQualityError(f"Check {name} failed: {failed!r}", failures=failed)
+    groups = [c for c in ("snapshot_date", "source") if c in result.columns]
+    rows, total = first_and_total(result.where(~F.coalesce("passed", F.lit(False))), *groups)
+    if total:
+        failed = [row.asDict() for row in rows]
+        raise DataQualityError(f"Check {name} failed: {failed!r}{in_all(failed, total)}", failures=failed, total=total)
 
 
 def date_conflicts(cleaned: DataFrame) -> DataFrame:
@@ -126,7 +128,3 @@ def null_counts(df: DataFrame, groups: list[str], columns: list[str]) -> DataFra
         F.count(F.lit(1)).alias("row_count"),
         *(F.count_if(F.col(c).isNull()).alias(f"null_{c}_count") for c in columns),
     )
-
-
-def with_iso_times(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.withColumns({c: iso_timestamp(F.col(c)) for c in columns})

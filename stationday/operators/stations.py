@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 
 from stationday.functions.geo import decimal_degrees
 from stationday.functions.text import csv_fields, lenient_double
-from stationday.operators.joins import SHOWN_IDS, broadcast_if_small, raise_if_any
+from stationday.operators.joins import broadcast_if_small, raise_if_any
 from stationday.operators.quality import any_null
 from stationday.schemas import STATION_MASTER_CHARSET, STATION_MASTER_HEADERS, STATION_SCHEMA
-from stationday.session import java_charsets
+from stationday.session import java_charsets, work_folder
 from stationday.sources.rawcsv import payload_rows
 
 log = logging.getLogger(__name__)
@@ -86,17 +86,18 @@ def wmo_stations(weather: DataFrame, master: DataFrame) -> Stations:
     A station without a master row, or with a name or coordinate missing or unreadable, is an
     error; a station with several master rows takes the first and is reported.
     """
-    in_use = stations_in_use(weather).persist()
-    described = describe_stations(in_use, master).persist()
+    described = describe_stations(stations_in_use(weather), master)
+    path = work_folder(weather.sparkSession, "described-stations")
+    described.write.parquet(path)
+    described = weather.sparkSession.read.schema(described.schema).parquet(path)
     raise_if_any(described.where("n IS NULL"), "station_id", "Missing station master rows for station ids")
     raise_if_any(
         described.where(any_null(STATION_SCHEMA.fieldNames())),
         "station_id",
         "Invalid required station master fields for station ids",
     )
-    duplicates = described.where("n > 1").select("station_id").distinct()
-    shown = [r[0] for r in duplicates.orderBy("station_id").limit(SHOWN_IDS).collect()]
-    count = len(shown) if len(shown) < SHOWN_IDS else duplicates.count()
-    if count:
-        log.warning("Duplicate station master rows, first row used: %d stations, %r", count, shown)
-    return Stations(described.select(*STATION_SCHEMA.fieldNames()), shown, count)
+    # every station with several master rows; the master is a list of stations, not of observations
+    ids = [r[0] for r in described.where("n > 1").select("station_id").distinct().orderBy("station_id").collect()]
+    if ids:
+        log.warning("Duplicate station master rows, first row used: %d stations, %r", len(ids), ids)
+    return Stations(described.select(*STATION_SCHEMA.fieldNames()), ids, len(ids))

@@ -34,6 +34,7 @@ from stationday.sinks.metrics import append_metrics, metric_rows
 from stationday.sinks.parquet import write_verified, written_files
 from stationday.sources.landing import (
     expected_objects,
+    day_folders,
     landing_rows,
     read_landing,
     require_objects,
@@ -106,10 +107,10 @@ def _stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def clean_measurements(rows: DataFrame, warehouse: Warehouse, dates: list[dt.date]) -> DataFrame:
-    """Clean the measurement rows, keep them as one table, and block on its checks."""
-    table = clean.clean_measurements(rows)
-    cleaned = select_snapshots(_keep(table, warehouse.cleaned), dates)
-    clean.require_one_time(cleaned, SOURCE_KEY)
+    """Clean the measurement rows and keep them as one table, unless a file mixes times; block on its checks."""
+    staged = select_snapshots(_stage(clean.clean_measurements(rows), "cleaned"), dates)
+    clean.require_one_time(staged, SOURCE_KEY)  # before good tables are replaced
+    cleaned = select_snapshots(_keep(staged, warehouse.cleaned), dates)
     expected = expected_groups(cleaned.sparkSession, dates)
     assert_checks(key_check(cleaned, SOURCE_KEY, expected=expected), "valid_daily_weather_key")
     return cleaned
@@ -168,7 +169,7 @@ def rebuild(
     run_id = uuid.uuid4().hex
     landed = select_snapshots(read_landing(spark, warehouse.landing), days)
     objects = landed.select("snapshot_date", "filename")
-    folders = [f"{measurements.rstrip('/')}/{day:%Y%m%d}" for day in days] if measurements else []
+    folders = day_folders(spark, measurements, days) if measurements else []
     if folders:
         objects = objects.unionByName(file_payloads(spark, folders).select(*objects.columns))
     require_objects(expected_objects(spark, days), objects)
@@ -201,9 +202,11 @@ def build(
     downloaded_at: dt.datetime | None = None,
 ) -> BuildReport:
     """Land the raw objects below ``incoming``, then ``rebuild``."""
-    rows = landing_rows(spark, incoming, downloaded_at)
-    write_landing(select_snapshots(rows, dates), warehouse.landing)
-    return rebuild(spark, warehouse, station_master, dates)
+    days = sorted(set(dates)) if dates is not None else [today()]
+    # only the folders of these days are listed and read
+    rows = landing_rows(spark, day_folders(spark, incoming, days), downloaded_at)
+    write_landing(rows, warehouse.landing)
+    return rebuild(spark, warehouse, station_master, days)
 
 
 def published_files(spark: SparkSession, warehouse: Warehouse) -> DataFrame:

@@ -10,7 +10,6 @@ from stationday.schemas import CONDITIONS_SCHEMA
 from stationday.sources.published import read_published
 
 VIEW = "weather_conditions"
-FETCH_ROWS = 1000
 
 EXTREMES = {
     "hottest": ("max", "max_temperature_c"),
@@ -90,6 +89,7 @@ def register(spark: SparkSession, root: str) -> None:
     register_view(read_published(spark, root))
 
 
-def fetch(spark: SparkSession, text: str, rows: int = FETCH_ROWS) -> DataFrame:
-    """The first rows of an ad-hoc query, in its order; ``.show(vertical=True)`` prints them."""
-    return spark.sql(text).limit(rows)
+def fetch(spark: SparkSession, text: str, rows: int | None = None) -> DataFrame:
+    """An ad-hoc query, whole or its first ``rows`` in its order; ``.show(vertical=True)`` prints them."""
+    found = spark.sql(text)
+    return found if rows is None else found.limit(rows)

@@ -24,5 +24,5 @@ def metric_rows(df: DataFrame, table_name: str) -> DataFrame:
 
 
 def append_metrics(rows: DataFrame, path: str, run_id: str) -> None:
-    """Append; metrics are a few rows per table and day, so one file holds a run."""
-    rows.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("append").parquet(path)
+    """Append a run's metrics."""
+    rows.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)

@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 
 from stationday.errors import MissingRawObjects, VerificationError
 from stationday.functions.time import snapshot_key, today
-from stationday.operators.joins import SHOWN_IDS
+from stationday.operators.joins import SHOWN_IDS, first_and_total, in_all
 from stationday.schemas import LANDING_SCHEMA, POLLEN_FILE, RAW_FILENAMES, SOURCE_URLS
 from stationday.sources.published import read_declared
-from stationday.sources.rawcsv import OBJECT_KEY, file_payloads
+from stationday.session import work_folder
+from stationday.sources.rawcsv import OBJECT_KEY, existing, file_payloads
 
 
 def digest(content: Column) -> Column:
@@ -46,9 +47,9 @@ def require_landable(files: DataFrame, max_bytes: int = MAX_PAYLOAD_BYTES) -> No
 
 
 def landing_rows(
-    spark: SparkSession, incoming: str, downloaded_at: dt.datetime | None = None, pattern: str = OBJECT_KEY
+    spark: SparkSession, incoming: str | list[str], downloaded_at: dt.datetime | None = None, pattern: str = OBJECT_KEY
 ) -> DataFrame:
-    """The raw objects below ``incoming`` (``YYYYMMDD/filename``) as rows of the landing table.
+    """The raw objects below ``incoming`` (``YYYYMMDD/filename``, or such folders) as rows of the landing table.
 
     Other files are left alone.
     """
@@ -81,17 +82,23 @@ def write_landing(rows: DataFrame, landing: str) -> DataFrame:
     rows.write.partitionBy("snapshot_date", "filename").mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).parquet(landing)
+    # what was sent, part by part: several parts may share one object's key
+    part = ["object_key", "size", "sha256"]
+    path = work_folder(spark, "sent")
+    rows.groupBy("snapshot_date", *part).agg(F.count(F.lit(1)).alias("parts")).write.parquet(path)
+    sent = spark.read.parquet(path)
     stored = read_landing(spark, landing).join(
-        F.broadcast(rows.select("snapshot_date").distinct()), "snapshot_date", "left_semi"
+        F.broadcast(sent.select("snapshot_date").distinct()), "snapshot_date", "left_semi"
     )
     wrong = stored.where((digest(F.col("content")) != F.col("sha256")) | (F.octet_length("content") != F.col("size")))
     keys = [row[0] for row in wrong.select("object_key").limit(SHOWN_IDS).collect()]
     if keys:
         raise VerificationError(f"Landed bytes do not match their payload: {keys!r}")
-    lost = rows.select("object_key").join(stored.select("object_key"), "object_key", "left_anti")
-    keys = [row[0] for row in lost.limit(SHOWN_IDS).collect()]
-    if keys:
-        raise VerificationError(f"Objects not landed: {keys!r}")
+    kept = stored.groupBy(*part).agg(F.count(F.lit(1)).alias("parts"))
+    lost, total = first_and_total(sent.join(kept, [*part, "parts"], "left_anti").select("object_key").distinct(), "object_key")
+    if total:
+        keys = [row[0] for row in lost]
+        raise VerificationError(f"Objects not landed whole: {keys!r}{in_all(keys, total)}")
     return stored.drop("content")
 
 
@@ -117,7 +124,16 @@ def missing_objects(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def require_objects(expected: DataFrame, landed: DataFrame) -> None:
-    missing = missing_objects(expected, landed).orderBy("snapshot_date", "filename").limit(SHOWN_IDS).collect()
-    if missing:
+    missing, total = first_and_total(missing_objects(expected, landed), "snapshot_date", "filename")
+    if total:
         names = [f"{row.snapshot_date:%Y%m%d}/{row.filename}" for row in missing]
-        raise MissingRawObjects(f"Raw objects missing: {names!r}")
+        raise MissingRawObjects(f"Raw objects missing: {names!r}{in_all(names, total)}")
+
+
+def day_folders(spark: SparkSession, root: str, dates: Iterable[dt.date]) -> list[str]:
+    """The folders ``YYYYMMDD`` below ``root`` that exist, of the given days only; none is an error."""
+    wanted = [f"{root.rstrip('/')}/{day:%Y%m%d}" for day in dates]
+    found = existing(spark, wanted)
+    if not found:
+        raise MissingRawObjects(f"Raw objects missing: no folder of {wanted[:SHOWN_IDS]!r}{in_all(wanted[:SHOWN_IDS], len(wanted))}")
+    return found

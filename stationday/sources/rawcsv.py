@@ -89,6 +89,12 @@ def _path_columns(df: DataFrame, path: Column, pattern: str) -> DataFrame:
     return df.withColumns({"snapshot_date": day, "filename": name})
 
 
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of the paths that exist, asked of their own file systems."""
+    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [p for p in paths if path(p).getFileSystem(conf).exists(path(p))]
+
+
 def file_payloads(
     spark: SparkSession, path: str | list[str], pattern: str = OBJECT_KEY, only: str | None = None
 ) -> DataFrame:

@@ -1,15 +1,17 @@
 import datetime as dt
 import glob
+import hashlib
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_master, write_snapshot
-from stationday.errors import DataQualityError, MissingRawObjects
+from stationday.errors import DataQualityError, MissingRawObjects, VerificationError
+from stationday.operators.joins import raise_if_any
 from stationday.plans.build import Warehouse, build, published_files, rebuild
-from stationday.schemas import CONDITIONS_SCHEMA
-from stationday.sources.landing import read_landing, require_landable
+from stationday.schemas import CONDITIONS_SCHEMA, LANDING_SCHEMA
+from stationday.sources.landing import day_folders, landing_rows, read_landing, require_landable, write_landing
 from stationday.sources.published import read_published
 from stationday.sources.rawcsv import file_payloads
 
@@ -155,3 +157,40 @@ def test_large_objects_are_not_landed(spark, incoming):
     require_landable(files)
     with pytest.raises(ValueError, match="cannot be landed.*measurements="):
         require_landable(files, max_bytes=10)
+
+
+def test_duplicates_and_failures_are_reported_whole(spark):
+    ids = [f"{i:03d}" for i in range(60)]
+    rows = spark.createDataFrame([(i,) for i in ids], "station_id string")
+    with pytest.raises(DataQualityError, match="60 in all") as caught:
+        raise_if_any(rows, "station_id", "Bad")
+    assert caught.value.total == 60 and caught.value.failures == ids[:20]
+
+
+def test_a_lost_part_is_noticed(spark, tmp_path):
+    """Two parts under one key: what is stored is compared with what was sent, part by part."""
+    content = [b"first", b"second"]
+    rows = spark.createDataFrame(
+        [(f"{DAY:%Y%m%d}/pollen.json", None, "application/json", None, len(c), hashlib.sha256(c).hexdigest(), c, DAY, "pollen.json") for c in content],
+        LANDING_SCHEMA,
+    )
+    stored = write_landing(rows, str(tmp_path / "landing"))
+    assert stored.count() == 2
+    lossy = write_landing.__globals__["read_landing"]
+    write_landing.__globals__["read_landing"] = lambda *a: lossy(*a).where(f"sha256 = '{hashlib.sha256(b'first').hexdigest()}'")
+    try:
+        with pytest.raises(VerificationError, match="not landed whole"):
+            write_landing(rows, str(tmp_path / "again"))
+    finally:
+        write_landing.__globals__["read_landing"] = lossy
+
+
+def test_other_days_are_not_read(spark, tmp_path):
+    for name in ("20260913", "20260914"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "pollen.json").write_bytes(b"{}")
+    folders = day_folders(spark, str(tmp_path), [dt.date(2026, 9, 13), dt.date(2026, 9, 20)])
+    assert folders == [f"{tmp_path}/20260913"]
+    assert [str(r["snapshot_date"]) for r in landing_rows(spark, folders).select("snapshot_date").collect()] == ["2026-09-13"]
+    with pytest.raises(MissingRawObjects):
+        day_folders(spark, str(tmp_path), [dt.date(2026, 9, 20)])
