@@ -16,8 +16,8 @@ from stationday.sources.published import read_published
 from stationday.sources.rawcsv import file_payloads
 
 DAY, NEXT = dt.date(2026, 9, 13), dt.date(2026, 9, 14)
-STATIONS = {"11001": "47401", "44132": "47662", "99999": ""}
-MASTER = [["11001", "宗谷岬", "45", "31.2", "141", "56.1"], ["44132", "東京①", "35", "41.5", "139", "45.0"]]
+STATIONS = {"20711": "47519", "53026": "47741", "99999": ""}
+MASTER = [["20711", "霧ヶ峰", "36", "12.6", "138", "9.0"], ["53026", "長浜②", "33", "22.8", "135", "30.0"]]
 
 
 REORDERED = {"precipitation": [3, 10, 9, 0, 1, 2, 4, 5, 6, 7, 8]}
@@ -52,10 +52,10 @@ def test_build_publishes_one_row_per_station_and_day(spark, both):
     warehouse, report = both
     rows = published(spark, warehouse)
     assert report.rows == 4 and report.dates == [DAY, NEXT] and report.duplicate_stations == []
-    assert [(r["date"], r["station_id"]) for r in rows] == [(d, s) for d in (DAY, NEXT) for s in ("11001", "44132")]
+    assert [(r["date"], r["station_id"]) for r in rows] == [(d, s) for d in (DAY, NEXT) for s in ("20711", "53026")]
     first = rows[0]
     assert list(first) == CONDITIONS_SCHEMA.fieldNames()
-    assert first["station_name"] == "宗谷岬" and first["latitude"] == pytest.approx(45.52)
+    assert first["station_name"] == "霧ヶ峰" and first["latitude"] == pytest.approx(36.21)
     assert first["precipitation_mm"] == 20.0 and first["max_gust_direction"] == "北北西"
     assert first["tree_info"] == {
         "value": 4,
@@ -72,9 +72,9 @@ def test_build_writes_a_document_per_day(spark, both):
     warehouse, _ = both
     parts = glob.glob(f"{warehouse.geojson}/date=2026-09-13/part-*.txt")
     document = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(parts)))
-    assert [f["properties"]["station_id"] for f in document["features"]] == ["11001", "44132"]
+    assert [f["properties"]["station_id"] for f in document["features"]] == ["20711", "53026"]
     latitude = published(spark, warehouse)[1]["latitude"]
-    assert document["features"][1]["geometry"] == {"type": "Point", "coordinates": [139.75, latitude]}
+    assert document["features"][1]["geometry"] == {"type": "Point", "coordinates": [135.5, latitude]}
 
 
 def test_build_records_metrics(spark, both):
@@ -141,13 +141,13 @@ def test_failed_check_blocks_but_keeps_the_cleaned_table(spark, tmp_path, master
 
 def test_station_without_pollen_blocks_publishing(spark, tmp_path, master):
     incoming = write_snapshot(str(tmp_path / "in"), DAY, STATIONS)
-    only_one = write_snapshot(str(tmp_path / "other"), DAY, {"11001": "47401"})
+    only_one = write_snapshot(str(tmp_path / "other"), DAY, {"20711": "47519"})
     with open(f"{only_one}/20260913/pollen.json", "rb") as source, open(
         f"{incoming}/20260913/pollen.json", "wb"
     ) as target:
         target.write(source.read())
     warehouse = Warehouse(str(tmp_path / "out"))
-    with pytest.raises(DataQualityError, match="do not match.*44132"):
+    with pytest.raises(DataQualityError, match="do not match.*53026"):
         build(spark, warehouse, incoming, master, [DAY])
     assert not glob.glob(f"{warehouse.conditions}*")
 

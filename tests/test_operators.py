@@ -252,7 +252,7 @@ def weather(spark, *stations, day=DAY):
 
 
 MASTER = "place int, station_id string, station_name string, latitude_degrees string, latitude_minutes string, longitude_degrees string, longitude_minutes string"
-ALPHA = ("A", "Alpha", "45", "31.2", "141", "56.1")
+ALPHA = ("A", "Ume", "37", "24.6", "138", "15.0")
 
 
 def master(spark, *rows):
@@ -264,15 +264,15 @@ def test_stations_in_use_with_coordinates(spark):
     found = wmo_stations(weather(spark, "A"), master(spark, ALPHA, *unused))
     assert [(f.name, f.dataType) for f in found.table.schema] == [(f.name, f.dataType) for f in STATION_SCHEMA]
     (row,) = found.table.collect()
-    assert (row.station_id, row.wmo_station_id, row.station_name) == ("A", "WA", "Alpha")
-    assert (row.latitude, row.longitude) == (pytest.approx(45.52), pytest.approx(141.935))
+    assert (row.station_id, row.wmo_station_id, row.station_name) == ("A", "WA", "Ume")
+    assert (row.latitude, row.longitude) == (pytest.approx(37.41), pytest.approx(138.25))
     assert found.duplicate_ids == [] and found.duplicate_count == 0
 
 
 def test_first_of_duplicate_master_rows_is_used_and_reported(spark, caplog):
     later = ("A", "Other", "1", "1", "1", "1")
     found = wmo_stations(weather(spark, "A"), master(spark, ALPHA, later, later))
-    assert [r.station_name for r in found.table.collect()] == ["Alpha"]
+    assert [r.station_name for r in found.table.collect()] == ["Ume"]
     assert found.duplicate_ids == ["A"] and "Duplicate station master rows" in caplog.text
 
 
