@@ -165,6 +165,7 @@ ORACLES = {
     "all_conditions": f"WITH {CONDITIONS} SELECT {_COND} FROM cond WHERE date = {DAY}",
     "nearest_one": _nearest(f"date = {DAY}"),
     "nearest_all": _nearest("TRUE"),
+    "sql_all_conditions": f"WITH {WEATHER} SELECT {_HEAD} FROM weather WHERE date = {DAY}",
     "sql_hottest": _extreme("max", "max_temperature_c", f"date = {DAY}"),
     "sql_coldest": _extreme("min", "min_temperature_c", f"date = {DAY}"),
     "sql_highest_precipitation": _extreme("max", "precipitation_mm", f"date = {DAY}"),
@@ -262,8 +263,8 @@ FROM orders WHERE o_orderkey % 3 <> 0""",
   round(longitude, 9) AS longitude, round(latitude, 9) AS latitude, station_id, {_date()},
   strftime(observed_at + INTERVAL 9 HOUR, '%Y-%m-%dT%H:%M:%S+09:00') AS observed_at, station_name,
   {", ".join(COLUMNS)}, grass_info, tree_info, weed_info FROM cond""",
-    "geojson_documents": f"""WITH {WEATHER} SELECT CAST(date AS VARCHAR) AS date, CAST(1 AS BIGINT) AS heads,
-  CAST(1 AS BIGINT) AS firsts, count(*) - 1 AS nexts, CAST(1 AS BIGINT) AS tails FROM weather GROUP BY weather.date""",
+    "geojson_documents": f"""WITH {WEATHER} SELECT CAST(date AS VARCHAR) AS date, CAST(1 AS BIGINT) AS documents,
+  count(*) AS features, count(DISTINCT station_id) AS stations FROM weather GROUP BY weather.date""",
     "raw_csv_roundtrip": RAW,
     "raw_csv_split_roundtrip": RAW,
     "full_rebuild": f"WITH {VALID_CONDITIONS} SELECT * REPLACE ({_hour_text('CAST(date AS DATE)')} AS observed_at) "

@@ -57,7 +57,7 @@ from stationday.schemas import (
     TIME_HEADERS,
 )
 from stationday.session import java_charsets, work_folder
-from stationday.sinks.documents import geojson_features, geojson_lines, write_documents
+from stationday.sinks.documents import geojson_documents, geojson_features, read_documents, write_documents
 from stationday.sinks.envelope import land_pollen, pollen_envelopes
 from stationday.sinks.metrics import metric_rows
 from stationday.sinks.parquet import write_verified
@@ -371,15 +371,21 @@ def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def geojson_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of the written documents: one head, one tail, commas between features."""
+def written_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every written document, parsed: how many a day has, and the features and stations in them."""
     root = work_folder(spark, "geojson")
-    write_documents(geojson_lines(published_conditions(spark, sf_dir)), root, "date")
-    lines = spark.read.text(root)
-    begins = {"heads": '{"type":"FeatureCollection"', "firsts": '{"type":"Feature",', "nexts": ',{"type":"Feature",'}
-    counts = (F.count_if(F.startswith("value", F.lit(text))).alias(name) for name, text in begins.items())
-    tails = F.count_if(F.col("value") == "]}").alias("tails")
-    return plain(lines.groupBy("date").agg(*counts, tails))
+    write_documents(geojson_documents(published_conditions(spark, sf_dir)), root, "date")
+    collection = "struct<type: string, features: array<struct<type: string, properties: struct<station_id: string>>>>"
+    lines = read_documents(spark, root, CONDITIONS_SCHEMA["date"])
+    parsed = lines.select("date", F.monotonically_increasing_id().alias("document"), parse_object(F.col("line"), collection).alias("d"))
+    features = parsed.where("d.type = 'FeatureCollection'").select("date", "document", F.explode("d.features").alias("f"))
+    return plain(
+        features.groupBy("date").agg(
+            F.count_distinct("document").alias("documents"),
+            F.count_if(F.col("f.type") == "Feature").alias("features"),
+            F.count_distinct("f.properties.station_id").alias("stations"),
+        )
+    )
 
 
 # --- raw files
@@ -468,6 +474,7 @@ QUERIES = {
     "all_conditions": all_conditions,
     "nearest_one": nearest_one,
     "nearest_all": nearest_all,
+    "sql_all_conditions": _sql("SELECT * FROM all_weather_conditions(DATE '2024-01-05')"),
     "sql_hottest": _sql("SELECT * FROM hottest(DATE '2024-01-05')"),
     "sql_coldest": _sql("SELECT * FROM coldest(p_date => DATE '2024-01-05')"),
     "sql_highest_precipitation": _sql("SELECT * FROM highest_precipitation(DATE '2024-01-05')"),
@@ -512,7 +519,7 @@ QUERIES = {
     "publish_roundtrip": publish_roundtrip,
     "union_by_name": union_by_name,
     "geojson_roundtrip": geojson_roundtrip,
-    "geojson_documents": geojson_documents,
+    "geojson_documents": written_geojson,
     "raw_csv_roundtrip": _raw_roundtrip(whole_file_bytes=WHOLE_FILE_BYTES),
     "raw_csv_split_roundtrip": _raw_roundtrip(whole_file_bytes=0),
     "full_rebuild": full_rebuild,

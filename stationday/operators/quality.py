@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 from operator import or_
 
@@ -15,6 +16,8 @@ from stationday.functions.time import iso_timestamp
 from stationday.operators.joins import first_and_total, in_all
 from stationday.schemas import MEASUREMENTS, POLLEN_COLUMNS
 
+log = logging.getLogger(__name__)
+
 KEY_COUNTS = ("null_key_row_count", "duplicate_key_count", "date_count", "observed_at_count")
 
 
@@ -122,6 +125,15 @@ def source_times(cleaned: DataFrame) -> DataFrame:
     )
 
 
+def warn_of_differing_hours(times: DataFrame) -> int:
+    """Log the snapshots whose sources are of different hours (``source_times``); returns how many there are."""
+    rows, total = first_and_total(times.where("differs"), "snapshot_date")
+    if total:
+        shown = [(str(r.snapshot_date), str(r.observed_at), str(r.newest_observed_at)) for r in rows]
+        log.warning("Sources differ in their hour, the oldest is used: %r%s", shown, in_all(shown, total))
+    return total
+
+
 def null_counts(df: DataFrame, groups: list[str], columns: list[str]) -> DataFrame:
     """Rows and NULLs per group."""
     return df.groupBy(*groups).agg(

@@ -25,11 +25,12 @@ from stationday.operators.quality import (
     null_counts,
     pollen_value_check,
     source_times,
+    warn_of_differing_hours,
 )
 from stationday.operators.stations import read_station_master, wmo_stations
 from stationday.schemas import POLLEN_COLUMNS, POLLEN_FILE
 from stationday.session import work_folder
-from stationday.sinks.documents import geojson_lines, write_documents
+from stationday.sinks.documents import geojson_documents, write_documents
 from stationday.sinks.metrics import append_metrics, metric_rows
 from stationday.sinks.parquet import write_verified, written_files
 from stationday.sources.landing import (
@@ -126,7 +127,25 @@ def clean_pollen(landed: DataFrame, warehouse: Warehouse, dates: list[dt.date])
     return pollen
 
 
-def _metrics(cleaned: DataFrame, weather: DataFrame, pollen: DataFrame, conditions: DataFrame) -> DataFrame:
+def _station_metrics(dimension: DataFrame, duplicates: int) -> DataFrame:
+    counts = dimension.agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(duplicates).cast("long").alias("duplicate_station_count")
+    )
+    return metric_rows(counts.withColumn("snapshot_date", F.lit(None).cast("date")), "wmo_stations")
+
+
+def _file_metrics(spark: SparkSession, path: str, days: list[dt.date]) -> DataFrame:
+    """Address, size and sha256 of each file that was written for the days."""
+    if not days:
+        return spark.createDataFrame([], "snapshot_date date, table_name string, metric string, value string")
+    files = written_files(spark, path, days).withColumn("snapshot_date", F.to_date("day")).drop("day")
+    name = path.rsplit("/", 1)[-1]
+    return metric_rows(files.withColumn("source", F.element_at(F.split("uri", "/"), -1)), name)
+
+
+def _metrics(
+    cleaned: DataFrame, weather: DataFrame, pollen: DataFrame, conditions: DataFrame, hours: DataFrame
+) -> DataFrame:
     """Counts, NULLs, dates and hours of every table, by snapshot; all small aggregates."""
     cleaned_counts = cleaned.groupBy(*SOURCE_KEY).agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -135,15 +154,23 @@ def _metrics(cleaned: DataFrame, weather: DataFrame, pollen: DataFrame, conditio
         F.min("observed_at").alias("observed_at"),
     )
     weather_counts = weather.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("date").alias("observation_date")
+        F.count(F.lit(1)).alias("row_count"),
+        F.lit(len(weather.columns)).alias("column_count"),
+        F.min("date").alias("observation_date"),
+    )
+    pollen_dates = pollen.groupBy("snapshot_date").agg(
+        F.lit(len(pollen.columns)).alias("column_count"), F.min("date").alias("observation_date")
     )
     conditions_counts = conditions.groupBy(F.col("date").alias("snapshot_date")).agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("observed_at").alias("observed_at")
+        F.count(F.lit(1)).alias("row_count"),
+        F.lit(len(conditions.columns)).alias("column_count"),
+        F.min("observed_at").alias("observed_at"),
     )
     parts = [
         metric_rows(cleaned_counts, "cleaned"),
         metric_rows(weather_counts, "daily_weather"),
-        metric_rows(source_times(cleaned), "daily_weather"),
+        metric_rows(hours, "daily_weather"),
+        metric_rows(pollen_dates, "pollen_cleaned"),
         metric_rows(null_counts(pollen, ["snapshot_date"], list(POLLEN_COLUMNS.values())), "pollen_cleaned"),
         metric_rows(conditions_counts, "daily_weather_conditions"),
     ]
@@ -179,6 +206,8 @@ def rebuild(
     require_one_date(cleaned)
     weather = _stage(wide_rows(cleaned, few_values(cleaned, "direction")), "daily_weather")
     require_consistent_ids(weather)
+    hours = _stage(source_times(cleaned), "hours")
+    warn_of_differing_hours(hours)
 
     stations = wmo_stations(weather, read_station_master(spark, station_master))
     dimension = _stage(stations.table, "stations")
@@ -187,9 +216,13 @@ def rebuild(
     conditions = daily_weather_conditions(weather, dimension, pollen)
     written = write_verified(conditions, warehouse.conditions)
     published = read_published(spark, warehouse.conditions).where(F.col("date").isin(written["partitions"]))
-    write_documents(geojson_lines(published), warehouse.geojson, "date")
+    write_documents(geojson_documents(published), warehouse.geojson, "date")
 
-    append_metrics(_metrics(cleaned, weather, pollen, published), warehouse.metrics, run_id)
+    rows = _metrics(cleaned, weather, pollen, published, hours)
+    rows = rows.unionByName(_station_metrics(dimension, stations.duplicate_count))
+    for name in (warehouse.conditions, warehouse.geojson):
+        rows = rows.unionByName(_file_metrics(spark, name, written["partitions"]))
+    append_metrics(rows, warehouse.metrics, run_id)
     return BuildReport(run_id, written["partitions"], written["rows"], written["checksum"], stations.duplicate_ids)
 
 

@@ -28,7 +28,8 @@ def on_date(conditions: DataFrame, date: dt.date | None) -> DataFrame:
 
 
 def _ordered(df: DataFrame, date: dt.date | None) -> DataFrame:
-    return df.orderBy("station_id") if date is not None else df.orderBy("date", "station_id")
+    """One day by station; all days stay in no order, as sorting them would shuffle the whole table."""
+    return df if date is None else df.orderBy("station_id")
 
 
 def all_weather_conditions(conditions: DataFrame, date: dt.date | None = None) -> DataFrame:
@@ -68,10 +69,11 @@ def nearest_stations(
     )
     if date is not None:
         return located.orderBy("distance_km", "station_id").limit(1)
-    nearest = located.groupBy("date").agg(
-        F.min_by("station_id", F.struct("distance_km", "station_id")).alias("station_id")
-    )
-    return located.join(per_date(nearest), ["date", "station_id"]).select(*located.columns).orderBy("date")
+    # numbers are hash-aggregated; ids are looked at for the few stations at a day's least distance only
+    least = located.groupBy(F.col("date").alias("_day")).agg(F.min("distance_km").alias("_least"))
+    ties = located.join(per_date(least), (F.col("date") == F.col("_day")) & (F.col("distance_km") == F.col("_least")))
+    first = F.min_by(F.struct(*located.columns), F.struct("station_id")).alias("first")
+    return ties.groupBy(F.col("date").alias("_day")).agg(first).select("first.*")
 
 
 def daily_summary(conditions: DataFrame, date: dt.date | None = None) -> DataFrame:

@@ -1,20 +1,19 @@
-"""JSON documents, one per day, written without gathering a day anywhere.
-
-A document is a head line, one line per item, and a tail line. The lines are range-partitioned by
-day and item, so a large day is spread over several part files whose names are in order: the part
-files of a day, concatenated, are its document.
-"""
+"""JSON documents, one per day, each whole by itself and read back after writing."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stationday.errors import VerificationError
 from stationday.functions.time import ISO_TIMESTAMP
 from stationday.operators.joins import per_date
 from stationday.schemas import JAPAN_TIME
 
 GEOJSON_HEAD, GEOJSON_TAIL = '{"type":"FeatureCollection","features":[', "]}"
+#: Features of one document, some 15 MB of text. A day with more has several documents, none is left out.
+FEATURES_PER_DOCUMENT = 20_000
 
 
 def to_compact_json(value: Column) -> Column:
@@ -40,31 +39,67 @@ def geojson_features(conditions: DataFrame) -> DataFrame:
     )
 
 
-def document_lines(items: DataFrame, day: str, order: str, text: Column, head: str, tail: str) -> DataFrame:
-    """``day, line`` of one document per day, range-partitioned and sorted in document order.
+def day_documents(items: DataFrame, day: str, order: str, text: Column, head: str, tail: str, limit: int) -> DataFrame:
+    """``day, document, features, line``: every line is a complete document of about ``limit`` items at most.
+
+    A day of up to ``limit`` items is one document; a larger day is dealt by hash into several, so that
+    no row holds more than a bounded share of it. Items are in the order of ``order`` within a document.
+    """
+    sizes = items.groupBy(F.col(day).alias("_day")).agg(F.expr(f"(count(1) - 1) div {limit} + 1").alias("_documents"))
+    document = F.expr(f"pmod(xxhash64({order}), _documents)").alias("document")
+    features = F.sort_array(F.collect_list(F.struct(F.col(order).alias("key"), text.alias("text"))))
+    gathered = (
+        items.join(per_date(sizes), F.col(day) == F.col("_day"))
+        .groupBy(day, document)
+        .agg(features.alias("features"))
+    )
+    line = F.concat(F.lit(head), F.concat_ws(",", "features.text"), F.lit(tail))
+    return gathered.select(day, "document", F.size("features").cast("long").alias("features"), line.alias("line"))
+
+
+def _line_metrics(day: str, line: str, features: Column) -> list[Column]:
+    checksum = F.sum(F.xxhash64(day, line).cast("decimal(38,0)"))
+    return [
+        F.count(F.lit(1)).alias("documents"),
+        F.coalesce(F.sum(features), F.lit(0)).alias("features"),
+        F.coalesce(checksum, F.lit(0)).alias("checksum"),
+    ]
+
+
+def write_documents(documents: DataFrame, path: str, day: str) -> dict[str, int]:
+    """Write the documents of each day, one a line, read them back and compare; returns the metrics.
 
-    ``order`` must be unique within a day. The text is built after the exchange, so sampling the
-    ranges and shuffling work on the columns, not on the texts.
+    A day with one document is one file, which is JSON by itself. Read back are the texts, and the
+    features that a JSON parser finds in them.
     """
-    first = items.groupBy(day).agg(F.min(order).alias("_first"))
-    body = items.join(per_date(first), day).withColumn("_place", F.lit(1))
-    days = items.select(day).distinct()
-    edges = [days.withColumn("_place", F.lit(place)) for place in (0, 2)]
-    lines = body.unionByName(edges[0], allowMissingColumns=True).unionByName(edges[1], allowMissingColumns=True)
-    ordered = lines.repartitionByRange(day, "_place", order).sortWithinPartitions(day, "_place", order)
-    comma = F.when(F.col(order) == F.col("_first"), F.lit("")).otherwise(F.lit(","))
-    line = (
-        F.when(F.col("_place") == 0, F.lit(head))
-        .when(F.col("_place") == 2, F.lit(tail))
-        .otherwise(F.concat(comma, text))
+    seen = Observation()
+    (
+        documents.observe(
+            seen, *_line_metrics(day, "line", F.col("features")), F.collect_set(day).alias("days")
+        )
+        .select(day, "line")
+        .write.partitionBy(day)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .text(path)
     )
-    return ordered.select(day, line.alias("line"))
+    sent = seen.get
+    days = sent.pop("days")
+    if not days:
+        return sent
+    kept = read_documents(documents.sparkSession, path, documents.schema[day]).where(F.col(day).isin(sorted(days)))
+    found = F.coalesce(F.json_array_length(F.get_json_object("line", "$.features")), F.lit(-1))
+    back = kept.agg(*_line_metrics(day, "line", found)).first().asDict()
+    if sent != back:
+        raise VerificationError(f"Documents read back from {path} differ from those written: {sent} != {back}")
+    return back
 
 
-def write_documents(lines: DataFrame, path: str, day: str) -> None:
-    lines.write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
+def read_documents(spark: SparkSession, path: str, day: T.StructField) -> DataFrame:
+    """``line`` and the day of every written document."""
+    return spark.read.schema(T.StructType([T.StructField("line", T.StringType()), day])).text(path)
 
 
-def geojson_lines(conditions: DataFrame) -> DataFrame:
+def geojson_documents(conditions: DataFrame, limit: int = FEATURES_PER_DOCUMENT) -> DataFrame:
     text = to_compact_json(geojson_feature(conditions.columns))
-    return document_lines(conditions, "date", "station_id", text, GEOJSON_HEAD, GEOJSON_TAIL)
+    return day_documents(conditions, "date", "station_id", text, GEOJSON_HEAD, GEOJSON_TAIL, limit)

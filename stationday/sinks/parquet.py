@@ -44,15 +44,15 @@ def write_verified(
     return {"rows": sent["rows"], "checksum": sent["checksum"], "partitions": written}
 
 
-def written_files(spark: SparkSession, path: str) -> DataFrame:
-    """Key, size and sha256 of every data file below a published folder.
+def written_files(spark: SparkSession, path: str, days: list | None = None) -> DataFrame:
+    """Key, size and sha256 of every data file below a published folder, or of the given days only.
 
     Files are bounded by the writer's file size; hashing reads them whole, one per row.
     """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(path)
+        .load(path if days is None else [f"{path}/date={d}" for d in days])
         .select(
             F.col("path").alias("uri"),
             F.regexp_extract("path", r"date=([^/]+)/", 1).alias("day"),

@@ -70,8 +70,8 @@ def test_build_publishes_one_row_per_station_and_day(spark, both):
 
 def test_build_writes_a_document_per_day(spark, both):
     warehouse, _ = both
-    parts = glob.glob(f"{warehouse.geojson}/date=2026-09-13/part-*.txt")
-    document = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(parts)))
+    (part,) = glob.glob(f"{warehouse.geojson}/date=2026-09-13/part-*.txt")
+    document = json.loads(open(part, encoding="utf-8").read())
     assert [f["properties"]["station_id"] for f in document["features"]] == ["20711", "53026"]
     latitude = published(spark, warehouse)[1]["latitude"]
     assert document["features"][1]["geometry"] == {"type": "Point", "coordinates": [135.5, latitude]}
@@ -86,6 +86,10 @@ def test_build_records_metrics(spark, both):
     assert metrics["cleaned.max_gust", "null_count"] == "0"
     assert metrics["daily_weather", "observed_at"] == "2026-09-13T13:00:00+09:00"
     assert metrics["daily_weather", "differs"] == "true"
+    assert metrics["pollen_cleaned", "observation_date"] == "2026-09-13"
+    assert metrics["daily_weather_conditions", "column_count"] == str(len(CONDITIONS_SCHEMA))
+    written = {name.split(".")[0] for name, metric in metrics if metric == "sha256"}
+    assert written == {"daily_weather_conditions", "daily_weather_conditions_geojson"}
     assert metrics["pollen_cleaned", "null_grass_info_count"] == "2"
 
 
