@@ -3,7 +3,8 @@
 Benchmark items are cut into passages, documents into overlapping windows of words. Terms are hashed and
 weighed by their inverse document frequency over all documents. A distributed randomised singular value
 decomposition of the benchmark's passages gives a latent space; windows whose cosine with a passage there is
-high enough are candidates. A candidate counts if the longest common subsequence of words covers enough of the
+high enough are candidates. So is every window that holds enough of a passage's rarer words: none that
+covers enough of a passage can do without them, however common its words are. A candidate counts if the longest common subsequence of words covers enough of the
 passage, or covers less but holds the passage's answer (the item's ``answer`` if that column exists, else its last words).
 
 Defined results: null and empty texts are clean; items without words match nothing. Documents that repeat
@@ -41,6 +42,10 @@ ANSWER_WORDS = 5
 SHORT = 8
 #: Passages that one pass holds in memory; more are searched in several passes.
 PASSAGES_AT_ONCE = 20_000
+#: Passages whose rarer words are counted together.
+TOGETHER = 256
+#: Windows and passages that are compared together.
+PAIRS = 256
 #: Term rows that travel together while sums are formed.
 _STRIPE = 256
 
@@ -66,26 +71,54 @@ def _terms(value) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint16) if value.is_valid else np.zeros(0, np.uint16)
 
 
-def inverse_frequencies(terms: DataFrame) -> np.ndarray:
-    """Weight of each hashed term: the logarithm of documents over documents that hold it."""
+def frequencies(terms: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """For each hashed term its weight, the logarithm of documents over documents that hold it, and its share of all words."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, rows = np.zeros(TERMS, np.int64), 0
+        counts, words, rows = np.zeros(TERMS, np.int64), np.zeros(TERMS, np.int64), 0
         for batch in batches:
             for value in batch.column(0):
-                counts[np.unique(_terms(value))] += 1
+                at, times = np.unique(_terms(value), return_counts=True)
+                counts[at] += 1
+                words[at] += times
                 rows += 1
         at = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array([-1, *at], pa.int32()), pa.array([rows, *counts[at]], pa.int64())], names=["term", "n"])
+        yield pa.record_batch(
+            [pa.array([-1, *at], pa.int32()), pa.array([rows, *counts[at]], pa.int64()), pa.array([0, *words[at]], pa.int64())],
+            names=["term", "n", "words"],
+        )
 
-    sums = terms.select("terms").mapInArrow(counted, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    sums = terms.select("terms").mapInArrow(counted, "term int, n long, words long")
+    sums = sums.groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect()
     found = {r["term"]: r["n"] for r in sums}  # at most TERMS + 1 rows
     total = found.pop(-1, 0)
+    share = np.zeros(TERMS)
+    for row in sums:
+        if row["term"] >= 0:
+            share[row["term"]] = row["words"]
+    share /= max(share.sum(), 1)
     out = np.full(TERMS, np.log((total + 1) / 0.5), np.float32)
     if found:
         n = np.fromiter(found.values(), float)
         out[list(found)] = np.where(n > COMMON * total + COMMON_MORE, 0.0, np.log((total + 1) / (n + 0.5)))
-    return np.maximum(out, 0)
+    return np.maximum(out, 0), share
+
+
+def rarer_words(terms: np.ndarray, need: int, share: np.ndarray, window: int) -> tuple[np.ndarray, int]:
+    """Distinct rarer terms of a passage, and how many words of a window must be among them.
+
+    A window that covers ``need`` of the passage's words covers ``need - d`` at least of those that are left
+    without the ``d`` most common. ``d`` is the one that chance meets least, by a Poisson estimate.
+    """
+    order = terms[np.lexsort((terms, share[terms]))]
+    best, out = np.inf, (np.unique(order), need)
+    for least in range(need, 0, -1):
+        left = np.unique(order[: len(order) - (need - least)])
+        expected = max(window * share[left].sum(), 1e-9)
+        chance = least * np.log(expected / least) + least - expected if least > expected else 0.0
+        if chance < best:
+            best, out = chance, (left, least)
+    return out
 
 
 def passages(items: DataFrame) -> DataFrame:
@@ -195,9 +228,10 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
 
 @dataclass
 class Index:
-    """Passages in the latent space, by the number of blocks of the windows they are searched in."""
+    """Passages in the latent space and by their rarer words, by the number of blocks of the windows they are searched in."""
 
     weights: np.ndarray
+    share: np.ndarray
     used: np.ndarray
     space: np.ndarray
     items: list
@@ -219,7 +253,39 @@ class Index:
         self.sizes = np.array([len(t) for t in self.terms], np.int64)
         self.need = np.where(self.sizes < SHORT, 1.0, COVERED_WITH_ANSWER) * self.sizes
         self.groups = [(2, np.flatnonzero(self.sizes <= BLOCK)), (4, np.flatnonzero(self.sizes > BLOCK))]
-        self.present = np.zeros(TERMS + 1, bool)
+        self.present = None
+        # rarer words by parts of the passages: a row for each term (row 0: other terms), and the passages that have it
+        self.rarer = []
+        for width, group in self.groups:
+            parts = []
+            for part in np.array_split(np.arange(len(group)), -(-len(group) // TOGETHER) or 1):
+                chosen = [rarer_words(self.terms[i], int(np.ceil(self.need[i])), self.share, width * BLOCK) for i in group[part]]
+                if chosen:
+                    terms, rows = np.unique(np.concatenate([c[0] for c in chosen]), return_inverse=True)
+                    which = np.repeat(np.arange(len(part)), [len(c[0]) for c in chosen])
+                    parts.append((part, terms, rows + 1, which, np.array([c[1] for c in chosen], np.uint8)))
+            self.rarer.append(parts)
+
+    def _overlaps(self, parts, terms, starts, low, high) -> tuple[np.ndarray, np.ndarray]:
+        """(window, passage of the group) wherever a window has enough words among the passage's rarer ones."""
+        windows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for part, used, rows, which, least in parts:
+            held = np.zeros((len(used) + 1, len(part)), np.uint8)
+            held[rows, which] = 1
+            row = np.zeros(TERMS, np.int32)
+            row[used] = np.arange(1, len(used) + 1)
+            row = np.append(row[terms], 0)
+            sizes = np.diff(starts, append=len(terms))
+            # sums wrap around, their differences do not: a window has at most 64 words
+            sums = np.zeros((len(starts) + 1, len(part)), np.uint8)
+            for k in range(BLOCK):
+                sums[1:] += held[row[np.where(k < sizes, starts + k, -1)]]
+            np.cumsum(sums, 0, dtype=np.uint8, out=sums)
+            for chunk in np.array_split(np.arange(len(low)), len(low) // 1024 + 1):
+                w, p = np.nonzero(sums[high[chunk]] - sums[low[chunk]] >= least)
+                windows.append(chunk[w])
+                found.append(part[p])
+        return np.concatenate(windows), np.concatenate(found)
 
     def search(self, texts: list[np.ndarray]) -> list[dict]:
         """For each document the items found in it, with the share of their passage that is covered."""
@@ -238,14 +304,13 @@ class Index:
         squares = np.concatenate([[0.0], np.cumsum(np.add.reduceat(weights * weights, starts), dtype=np.float64)])
         row = self.row[terms]
         at = np.flatnonzero(row >= 0)
-        if not len(at):
-            return found
-        touched, first = np.unique(np.searchsorted(starts, at, side="right") - 1, return_index=True)
         sums = np.zeros((len(starts) + 1, self.space.shape[1]), np.float64)
-        sums[touched + 1] = np.add.reduceat(self.space[row[at]] * weights[at, None], first)
-        np.cumsum(sums, 0, out=sums)
+        if len(at):
+            touched, first = np.unique(np.searchsorted(starts, at, side="right") - 1, return_index=True)
+            sums[touched + 1] = np.add.reduceat(self.space[row[at]] * weights[at, None], first)
+            np.cumsum(sums, 0, out=sums)
         last_block = (first_block + blocks)[owner]
-        for width, group in self.groups:
+        for (width, group), rarer in zip(self.groups, self.rarer):
             if not len(group):
                 continue
             low = np.arange(len(starts))
@@ -256,38 +321,46 @@ class Index:
             share = np.linalg.norm(window, axis=1) / norms
             # no passage can come closer to a window than the window's own part in the space
             close = np.flatnonzero(share >= COSINE * self.lengths[group].min())
+            pairs = []
             for chunk in np.array_split(close, len(close) // 1024 + 1):
                 cosine = (window[chunk] / norms[chunk, None]) @ self.unit[group].T
                 w, p = np.nonzero(cosine >= np.maximum(COSINE * self.lengths[group], 1e-3))
-                cuts = np.flatnonzero(np.diff(w)) + 1
-                for which, candidates in zip(np.split(w, cuts), np.split(group[p], cuts)):
-                    if len(which):
-                        at = chunk[which[0]]
-                        doc = owner[low[at]]
-                        end = ends[doc] if high[at] == last_block[low[at]] else starts[high[at]]
-                        self._compare(candidates, terms[starts[low[at]] : end], found[doc])
+                pairs.append(chunk[w] * len(group) + p)
+            w, p = self._overlaps(rarer, terms, starts, low, high)
+            w, p = np.divmod(np.unique(np.concatenate([*pairs, w * len(group) + p])), len(group))
+            begin = starts[low]
+            end = np.where(high == last_block[low], ends[owner[low]], np.append(starts, len(terms))[high])
+            for part in np.array_split(np.arange(len(w)), len(w) // PAIRS + 1):
+                self._compare(begin, end, owner[low], w[part], group[p[part]], terms, found)
         return found
 
-    def _compare(self, passages: np.ndarray, window: np.ndarray, found: dict) -> None:
+    def _compare(self, begin, end, owner, windows, passages, terms, found: list[dict]) -> None:
         # a common subsequence is no longer than the terms in common
-        self.present[window] = True
-        enough = self.present[self.places[passages]].sum(1) >= self.need[passages]
-        self.present[window] = False
-        for passage in passages[enough]:
+        if self.present is None:  # made where it is used: it need not travel
+            self.present = np.zeros((PAIRS + 1, TERMS + 1), bool)
+        distinct, at = np.unique(windows, return_inverse=True)
+        sizes = end[distinct] - begin[distinct]
+        each = np.repeat(np.arange(len(distinct)), sizes)
+        words = terms[np.arange(len(each)) + np.repeat(begin[distinct] - (np.cumsum(sizes) - sizes), sizes)]
+        self.present[each, words] = True
+        enough = self.present[at[:, None], self.places[passages]].sum(1) >= self.need[passages]
+        self.present[each, words] = False
+        for which, passage in zip(windows[enough], passages[enough]):
+            window, so_far = terms[begin[which] : end[which]], found[owner[which]]
             wanted, answer, item = self.terms[passage], self.answers[passage], self.items[passage]
             common = common_subsequence(wanted, window)
             covered = common / len(wanted)
-            if common < self.need[passage] or found.get(item, 0) >= covered:
+            if common < self.need[passage] or so_far.get(item, 0) >= covered:
                 continue
             if covered >= COVERED or common_subsequence(answer, window) == len(answer):
-                found[item] = covered
+                so_far[item] = covered
 
 
 def search(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """``doc_id, contaminated, items, covered`` of every row: items found, in order, and the best share covered."""
     spark = docs.sparkSession
     terms = stage(term_rows(docs, "doc_id", "text"), "terms")
-    weights = inverse_frequencies(terms)
+    weights, share = frequencies(terms)
     items = term_rows(benchmark, "item_id", "text")
     if "answer" in benchmark.columns:
         answers = term_rows(benchmark, "item_id", "answer").withColumnRenamed("terms", "answer_terms")
@@ -302,7 +375,7 @@ def search(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame
         rows = parts.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(passes)) == k).orderBy("item_id", "terms").collect()
         numbers = [np.frombuffer(r["terms"], np.uint16) for r in rows]
         held = spark.sparkContext.broadcast(
-            Index(weights, used, space, [r["item_id"] for r in rows], numbers, [np.frombuffer(r["answer"], np.uint16) for r in rows])
+            Index(weights, share, used, space, [r["item_id"] for r in rows], numbers, [np.frombuffer(r["answer"], np.uint16) for r in rows])
         )
 
         def searched(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

@@ -107,6 +107,16 @@ def test_benchmark_passages(spark, odd, no_docs):
     assert decontamination.keep_clean(odd, benchmark).columns == odd.columns
 
 
+def test_an_item_in_a_third_of_all_rows_is_found(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    text = " ".join(word() for _ in range(30))
+    texts = [(i, " ".join(word() for _ in range(100))) for i in range(300)]
+    texts = [(i, f"{t} {text} {t}" if i % 3 == 0 else t) for i, t in texts]
+    found = decontamination.search(make_docs(spark, texts), spark.createDataFrame([(7, text)], "item_id long, text string"))
+    assert {r["doc_id"] for r in found.collect() if r["items"] == [7] and r["covered"] == 1.0} == set(range(0, 300, 3))
+
+
 def test_common_subsequence():
     rng = random.Random(5)
     for _ in range(200):
