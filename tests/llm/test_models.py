@@ -117,6 +117,41 @@ def test_an_item_in_a_third_of_all_rows_is_found(spark):
     assert {r["doc_id"] for r in found.collect() if r["items"] == [7] and r["covered"] == 1.0} == set(range(0, 300, 3))
 
 
+def test_candidates_equal_a_search_of_all_windows(spark):
+    """Short items, items of common words and items with a quarter of their words changed, between rare and common words."""
+    rng = random.Random(9)
+    common = [f"c{i}" for i in range(30)]
+    rare = lambda: f"r{rng.randrange(10**9)}"
+    items = [[rare() for _ in range(n)] for n in (2, 3, 5, 12, 40)] + [[rng.choice(common) for _ in range(n)] for n in (10, 20, 70)]
+    items += [[rng.choice(common) if k % 3 else rare() for k in range(n)] for n in (9, 16, 17, 33, 49)]
+    texts = [(i, " ".join(rng.choice(common) for _ in range(90))) for i in range(40)]
+    for i, item in enumerate(items):
+        for kind, filler in enumerate((rare, lambda: rng.choice(common))):
+            for part in range(2):
+                kept = [w if not part or k % 4 else filler() for k, w in enumerate(item)]
+                words = [filler() for _ in range(37 + i)] + kept + [filler() for _ in range(50)]
+                texts.append((1000 * (i + 1) + 10 * kind + part, " ".join(words)))
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    found = {r["doc_id"]: (r["items"], r["covered"]) for r in decontamination.search(make_docs(spark, texts), benchmark).collect()}
+    numbers = {}
+    number = lambda words: np.array([numbers.setdefault(w, len(numbers)) for w in words])
+    for doc_id, text in texts:
+        words, best = text.split(), {}
+        for i, item in enumerate(items):
+            starts = sorted({*range(0, max(1, len(item) - 48), 48), max(0, len(item) - 48)})
+            for passage in (item[s : s + 48] for s in starts):
+                width = 32 if len(passage) <= 16 else 64
+                for at in range(0, max(1, 16 * -(-len(words) // 16) - width + 1), 16):
+                    window = number(words[at : at + width])
+                    covered = decontamination.common_subsequence(number(passage), window) / len(passage)
+                    enough = 0.7 if decontamination.common_subsequence(number(passage[-5:]), window) < min(5, len(passage)) else 0.5
+                    if covered >= (1.0 if len(passage) < 8 else enough):
+                        best[i] = max(best.get(i, 0), covered)
+        assert found[doc_id] == (sorted(best), max(best.values(), default=0.0)), doc_id
+        if doc_id >= 1000 and doc_id % 10 == 0:
+            assert doc_id // 1000 - 1 in best
+
+
 def test_common_subsequence():
     rng = random.Random(5)
     for _ in range(200):
