@@ -2,15 +2,15 @@
 
 Vectors are posted under their nearest centroid; those near a boundary are posted under several. Centroids
 are fitted on a bounded sample and searched through an in-memory graph. A query opens the lists whose
-centroid is not much farther than the nearest one. Long lists are cut in parts that are scanned apart.
+centroid is not much farther than the nearest one, and further ones while those opened may hold too few
+vectors. Long lists are cut in parts that are scanned apart.
 
 Equal vectors collapse first: of each, only the smallest ids can be among the nearest, so a vector that a
 third of all rows hold costs no more than any other.
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, or have another
 length than most take no part, neither as query nor as candidate; nor do rows without an id. A row that
-repeats is one candidate. Fewer candidates than asked for are all returned, if the lists opened hold them. An
-empty table gives an empty result.
+repeats is one candidate. Fewer candidates than asked for are all returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -152,12 +152,27 @@ def _postings(graph: Graph, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(rows, np.int64), np.array(lists, np.int64)
 
 
-def _probes(graph: Graph, v: np.ndarray, probes: int, ratio: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, list) of the lists that each query opens."""
+def _probes(graph: Graph, v: np.ndarray, probes: int, ratio: float, sizes: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, list) of the lists that each query opens: near ones, and as many more as hold ``least`` postings."""
     ids, sims = graph.search(v, probes)
     distance = 1 - sims
-    rows, at = np.nonzero((ids >= 0) & (distance <= ratio * distance[:, :1] + 1e-9))
-    return rows, ids[rows, at]
+    opened = (ids >= 0) & (distance <= ratio * distance[:, :1] + 1e-9)
+    rows, at = np.nonzero(opened)
+    lists = ids[rows, at]
+    short = np.flatnonzero(np.bincount(rows, sizes[lists], len(v)) < least)
+    if len(short):
+        keep = ~np.isin(rows, short)
+        rows, lists = [rows[keep]], [lists[keep]]
+        for i in short:
+            near = ids[i][opened[i]]
+            # all lists, those opened first, then by distance
+            order = np.argsort(-(graph.centroids @ v[i]), kind="stable")
+            order = np.concatenate([near, order[~np.isin(order, near)]])
+            order = order[: np.searchsorted(np.cumsum(sizes[order]), least) + 1]
+            rows.append(np.full(len(order), i))
+            lists.append(order)
+        rows, lists = np.concatenate(rows), np.concatenate(lists)
+    return rows, lists
 
 
 def _placed(df: DataFrame, graph: Graph, place, kind: str) -> DataFrame:
@@ -197,7 +212,13 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBES
     graph = Graph.build(fit_centroids(_unit(np.array(sample.tolist(), np.float64)), lists))
     posted = stage(_placed(classes, graph, _postings, "vector"), "postings")
     sizes = posted.groupBy("list").count().select("list", F.expr(f"count div {PART} + 1").alias("parts"))  # one row a centroid
-    asked = _placed(queries.select("class", "v").dropDuplicates(["class"]), graph, lambda g, v: _probes(g, v, probes, ratio), "query")
+    held = np.zeros(len(graph.centroids), np.int64)
+    for row in posted.groupBy("list").count().collect():  # one row a centroid
+        held[row["list"]] = row["count"]
+    least = REPLICAS * (k + 1)  # a vector has at most REPLICAS postings, so these are k + 1 vectors at least
+    asked = _placed(
+        queries.select("class", "v").dropDuplicates(["class"]), graph, lambda g, v: _probes(g, v, probes, ratio, held, least), "query"
+    )
     # vectors lie in one part of their list, queries visit each
     both = (
         posted.join(F.broadcast(sizes), "list")

@@ -189,3 +189,19 @@ def test_nearest_neighbours(spark):
     assert ann.search(frame.limit(0)).count() == 0
     few = ann.search(frame.where("vec_id in (0, 1, 2)")).collect()
     assert [r["vec_id"] for r in few] and len(few) == 2
+
+
+def test_nearest_of_isolated_vectors(spark, monkeypatch):
+    """A query whose own list holds too few others still gets as many as there are."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(640, 8)) * 0.2 + np.eye(8)[0]
+    x[:3] = -np.eye(8)[:3] * 5  # alone in their lists
+    x[3] = x[2] + 0.01  # two in a list
+    fitted = ann.fit_centroids
+    monkeypatch.setattr(ann, "fit_centroids", lambda sample, count: np.concatenate([-np.eye(8)[:3], fitted(sample, count)[3:]]))
+    frame = spark.createDataFrame([(50 * i if i < 4 else 1000 * i + 1, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.search(frame).collect():
+        found.setdefault(r["query_id"], []).append(r["rank"])
+    assert {q: sorted(ranks) for q, ranks in found.items()} == {q: [1, 2, 3, 4, 5] for q in (0, 50, 100, 150)}
+    assert ann.search(frame.where("vec_id < 200")).count() == 12
