@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -37,17 +39,19 @@ class Encoder:
     """Ids of a byte-level BPE vocabulary as little-endian 32-bit bytes, equal to those of the ``tokenizers`` library.
 
     A piece boundary of this vocabulary's pattern lies before each space that follows no white space and
-    precedes none. Texts between such spaces repeat, so their ids are remembered. Special tokens' strings
-    are ordinary text.
+    precedes none. Texts between such spaces repeat, so their ids are remembered. ``added`` tokens are cut out
+    of the text before and get their own ids.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
+        self.added = {token: i.to_bytes(4, "little") for token, i in (added or {}).items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def _ids(self, text: str) -> bytes:
         return self.bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
@@ -61,6 +65,11 @@ class Encoder:
         return ids
 
     def __call__(self, text: str) -> bytes:
+        if not any(token in text for token in self.added):
+            return self._plain(text)
+        return b"".join(self.added.get(part) or self._plain(part) for part in self.cut.split(text))
+
+    def _plain(self, text: str) -> bytes:
         chunks = text.split(" ")
         if "" in chunks[1:] or any(c[0].isspace() for c in chunks[1:]):
             # cut only before a text that follows a space and no other white space
@@ -75,10 +84,12 @@ class Encoder:
 
 
 def public_encoder(ranks: str = "byte_bpe_50k.tiktoken") -> Encoder:
-    """The encoder of a vocabulary file of ``public_tokenizers``."""
+    """The encoder of a vocabulary file of ``public_tokenizers``, with the added tokens of its JSON form."""
     import public_tokenizers
 
-    return Encoder(public_tokenizers.path(ranks), public_tokenizers.PATTERN)
+    with open(public_tokenizers.path(ranks.removesuffix(".tiktoken") + ".json"), encoding="utf-8") as file:
+        added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
+    return Encoder(public_tokenizers.path(ranks), public_tokenizers.PATTERN, added)
 
 
 class Windows:

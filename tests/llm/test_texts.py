@@ -108,6 +108,23 @@ def test_ids_equal_the_tokenizers_library(tokenizer, text):
 test_ids_equal_the_tokenizers_library.encoder = packing.public_encoder()
 
 
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "a", " ", "b's", "\n", "漢"]), max_size=8))
+def test_ids_equal_the_tokenizers_library_as_it_comes(parts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    test = test_ids_equal_the_tokenizers_library_as_it_comes
+    if not hasattr(test, "tokenizer"):
+        test.tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "".join(parts)
+    ids = np.frombuffer(test.encoder(text), "<u4").tolist()
+    assert ids == test.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+test_ids_equal_the_tokenizers_library_as_it_comes.encoder = packing.public_encoder()
+
+
 @pytest.mark.parametrize(("length", "most", "fan_in"), [(1024, 256, 32), (64, 2, 2)])
 def test_packing_round_trip(spark, tokenizer, no_docs, length, most, fan_in):
     texts = ODD + [(100 + i, " ".join(f"t{j}" for j in range(i))) for i in range(60)]
