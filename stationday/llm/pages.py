@@ -24,7 +24,10 @@ from pyspark.sql import DataFrame
 #: Elements whose content is never text.
 _RAW = "script|style|noscript|template|svg|math|iframe|object|select|textarea|canvas|title|audio|video|button"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)"
+    # an empty element; the slash that ends an unquoted value belongs to the value
+    r"|<(?:svg|math)(?=[\s/])(?:\s++|/(?!>)|[^\s=>/\"']++(?:\s*+=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s>\"']++))?+)*+/>"
+    rf"|<({_RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )

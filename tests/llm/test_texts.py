@@ -195,6 +195,17 @@ def test_pages(spark):
     assert len(found) == 6 and all(r["n_chars"] == len(r["text"]) for r in found)
 
 
+def test_only_raw_elements_swallow_text():
+    text = lambda html: " ".join(b.text for b in pages.blocks_of(html))
+    for tag in ("video-player", "title-bar", "svg-icon", "button-group", "math-field"):
+        assert text(f"<p>a.</p><{tag} x='1'>kept</{tag}><p>last.</p>") == "a. kept last."
+    for tag in ('<svg class="i"/>', "<svg/>", "<math a='>' b = c />", "<SVG hidden/>", '<svg a="1" / b/>'):
+        assert text(f"<p>a.</p>{tag}<p>last.</p><svg>no</svg>") == "a. last."
+    for tag in ("svg", "video", "title", "button"):
+        assert text(f"<p>a.</p><{tag} w=1>no</{tag}><p>b.</p><{tag}>no</{tag} ><p>last.</p>") == "a. b. last."
+    assert text("<p>a.</p><svg href=a/>no</svg><p>last.</p>") == "a. last."
+
+
 def test_the_tree_fits_its_table():
     x, y = pages.labelled_blocks()
     assert all(pages.trained()(row) == label for row, label in zip(x, y))
