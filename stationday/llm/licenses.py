@@ -2,6 +2,7 @@
 
 DataFrame functions only, one pass, no shuffle: each text is cut into sentences, each sentence is
 normalised and looked up in a small hash set, and the few identifiers found are matched in order.
+A known sentence may be wrapped over several lines, behind comment signs, and follow a number.
 
 Defined results: a null or empty text has no sentences and no licence. Sentences that repeat count
 each time; a licence found twice is named once. Extra columns of the input are ignored. An empty
@@ -77,6 +78,11 @@ SENTENCE_END = r"[.!?;:]+([\x20\x09-\x0D]+|\z)|[\x0A-\x0D]+"
 #: Runs of ASCII characters other than lower-case letters, digits and the end sign.
 NOISE = r"[\x02-\x2F\x3A-\x60\x7B-\x7F]+"
 END = "\x01"
+#: Line ends with the marks that open the next line, marks that end a sentence, and noise, where line ends are kept apart.
+LINE_END = r"[\x0A-\x0D][\x09-\x0D\x20]*(?:[.!?;:]+(?:[\x09-\x0D\x20]+|\z))*"
+MARK_END = r"[.!?;:]+([\x20\x09-\x0D\x02]+|\z)"
+LINE_NOISE = r"[\x03-\x2F\x3A-\x60\x7B-\x7F]+"
+LINE, KNOWN = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -121,17 +127,37 @@ class Rules:
         return [(name, "".join(f"<{i}>" for s in ids for i in parts[s])) for name, ids in self.rules]
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text that are not empty."""
-    lower = F.translate(F.coalesce(text, F.lit("")), UPPER + END, LOWER + " ")
-    flat = F.regexp_replace(F.regexp_replace(lower, SENTENCE_END, END), NOISE, " ")
-    return F.filter(F.transform(F.split(flat, END, -1), lambda s: F.trim(s)), lambda s: s != "")
+def flat(text: Column) -> Column:
+    """A text's words, with ``END`` after each sentence and ``LINE`` at each other line end."""
+    lower = F.translate(F.coalesce(text, F.lit("")), UPPER + END + LINE, LOWER + "  ")
+    cut = F.regexp_replace(F.regexp_replace(lower, LINE_END, LINE), MARK_END, END)
+    return F.regexp_replace(cut, LINE_NOISE, " ")
+
+
+def sentences(flat: Column) -> Column:
+    """The normalised sentences of a text that are not empty; each line end ends one."""
+    return F.filter(F.transform(F.split(flat, f"[{END}{LINE}]", -1), lambda s: F.trim(s)), lambda s: s != "")
+
+
+def unwrapped(flat: Column, lookup: dict[str, str]) -> Column:
+    """The same sentences, but known ones whole, without line ends and numbers before them; unknown ones without letters left out."""
+    known = "|".join(re.sub(" +", f"[ {LINE}]+", re.escape(s).replace("\\ ", " ")) for s in sorted(lookup, key=len, reverse=True))
+    marked = F.regexp_replace(
+        F.concat(F.lit(END), flat), f"[{END}{LINE}][ ]*(?:[0-9]+ +)?({known})(?=[ ]*(?:[{END}{LINE}]|\\z))", f"{END}{KNOWN}$1{END}"
+    )
+    pieces = F.flatten(
+        F.transform(
+            F.split(marked, END, -1),
+            lambda s: F.when(F.startswith(s, F.lit(KNOWN)), F.array(F.regexp_replace(s, f"[ {LINE}{KNOWN}]+", " "))).otherwise(F.split(s, LINE, -1)),
+        )
+    )
+    return F.filter(F.transform(pieces, lambda s: F.trim(s)), lambda s: s.isin(*lookup) | ~s.rlike("^[0-9 ]*$"))
 
 
 def scan(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     """``doc_id, n_sentences, identifiers, licenses, n_unmatched`` for every row.
 
-    ``identifiers`` lists known sentences in order, with ``<->`` where unknown ones lie between;
+    ``n_sentences`` counts lines apart. ``identifiers`` lists known sentences in order, with ``<->`` where unknown ones lie between;
     ``licenses`` the licences whose rules match, in rule order; ``n_unmatched`` the identifiers no rule used.
     """
     rules = rules or Rules()
@@ -169,8 +195,9 @@ def scan(docs: DataFrame, rules: Rules | None = None) -> DataFrame:
     )
     nothing = F.struct(F.lit("").alias("rest"), F.array().cast("array<string>").alias("names"))
     return (
-        docs.select("doc_id", sentences(F.col("text")).alias("sentences"))
-        .select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), found.alias("found"))
+        docs.select("doc_id", flat(F.col("text")).alias("flat"))
+        .select("doc_id", F.size(sentences(F.col("flat"))).cast("long").alias("n_sentences"), unwrapped(F.col("flat"), lookup).alias("sentences"))
+        .select("doc_id", "n_sentences", found.alias("found"))
         .select("doc_id", "n_sentences", F.when(F.size("found") > 0, joined).otherwise("").alias("identifiers"))
         .withColumn("matched", F.when(F.col("identifiers") != "", matched).otherwise(nothing))
         .select(

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 
 from hypothesis import given
 from hypothesis import strategies as st
@@ -81,3 +82,25 @@ def test_licenses(spark, odd, no_docs):
 def test_normalised_is_stable(text):
     once = licenses.normalised(text)
     assert licenses.normalised(once) == once
+
+
+def test_wrapped_commented_and_numbered_licenses(spark):
+    known = {n: s + ("." if s[-1].isalnum() else ";") for n, s in licenses.SENTENCES.items()}
+    wrap = lambda names, sign="", width=60: "\n".join(sign + x for n in names for x in textwrap.wrap(known[n], width))
+    bsd = ["BsdRedistribution", "BsdSource", "BsdBinary", "BsdEndorse"]
+    numbered = f"{wrap(bsd[:1])}\n\n1. {wrap(bsd[1:2])}\n2. {wrap(bsd[2:3])}\n3) {wrap(bsd[3:])}"
+    apache = ["ApacheUnderYouMayNot", "ApacheCopy", "ApacheAsIs", "ApacheLimits"]
+    texts = [
+        (1, "The MIT License\n\nCopyright x\n" + wrap(["MitGrant", "MitNotice"])),
+        (2, numbered),
+        (3, "\n".join(" * " + x for x in numbered.split("\n"))),
+        (4, wrap(apache, "# ").replace("at http", "at\n#\n#   http")),
+        (5, wrap(["GplFree", "GplHope"], ";; ", 40).replace("\n", "\r\n")),
+        (6, "Released under the MIT License\nAll rights reserved"),  # lines without marks
+        (7, wrap(["MitGrant"]).replace("without restriction", "with restriction")),
+    ]
+    rows = {r["doc_id"]: r for r in licenses.scan(make_docs(spark, texts)).collect()}
+    assert {i: r["licenses"] for i, r in rows.items()} == {
+        1: "MIT", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "Apache-2.0", 5: "GPL-3.0-or-later", 6: "MIT,Proprietary", 7: "",
+    }
+    assert all(rows[i]["n_unmatched"] == 0 for i in range(1, 7))
