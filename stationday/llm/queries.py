@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationday.llm import ann, decontamination, licenses, neardup, packing, pages, quality, secrets, sharding, toxicity
+from stationday.llm import (
+    ann,
+    clustering,
+    decontamination,
+    licenses,
+    neardup,
+    packing,
+    pages,
+    quality,
+    recompression,
+    resampling,
+    secrets,
+    sharding,
+    toxicity,
+)
 from stationday.llm.common import table
 
 
@@ -53,6 +67,18 @@ def good(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": license_scan,
     "op2_vector_shards": shards,
@@ -64,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_nearest": nearest,
     "op9_secrets": secret_spans,
     "op10_quality": good,
+    "op11_repeats": repeats,
+    "op12_resampling": resampled,
+    "op13_clusters": clusters,
 }
 
 _NEAR_DUPLICATES = r"""
@@ -84,4 +113,10 @@ reached(id, root) AS (
 SELECT id AS doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(root) AS component_id, id = min(root) AS kept
 FROM reached LEFT JOIN sizes ON sizes.doc_id = id GROUP BY id"""
 
-ORACLES: dict[str, str] = {"op1_license_scan": licenses.oracle(), "op4_near_duplicates": _NEAR_DUPLICATES}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": licenses.oracle(),
+    "op4_near_duplicates": _NEAR_DUPLICATES,
+    "op11_repeats": recompression.oracle(),
+    "op12_resampling": resampling.oracle(),
+    "op13_clusters": clustering.oracle(),
+}
