@@ -141,6 +141,25 @@ SELECT {_date()}, station_id, station_name, round(km, 6) AS distance_km
 FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY round(km, 9), station_id) AS r FROM d) WHERE r = 1"""
 
 
+def _around_the_world(key: str, days: int) -> str:
+    return (
+        f"CAST({DAY} + CAST({key} % {days} AS INTEGER) AS DATE) AS date, "
+        f"CAST({key} * 7919 % 180001 AS DOUBLE) / 1000.0e0 - 90.0e0 AS latitude, "
+        f"CAST({key} * 104729 % 360001 AS DOUBLE) / 1000.0e0 - 180.0e0 AS longitude"
+    )
+
+
+def _nearest_many(points: str, stations: str) -> str:
+    """All points with all stations of their day."""
+    return f"""pairs AS (
+  SELECT point_id, s.date, station_id, station_name, 2 * 6371.0e0 * asin(sqrt(least(1.0e0,
+    pow(sin(radians(s.latitude - p.latitude) / 2), 2)
+    + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2)))) AS km
+  FROM {points} p JOIN {stations} s ON p.date = s.date)
+SELECT point_id, {_date()}, station_id, station_name, round(km, 6) AS distance_km
+FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY round(km, 9), station_id) AS r FROM pairs) WHERE r = 1"""
+
+
 def _hour_text(date: str) -> str:
     return (
         f"strftime(CAST({date} AS TIMESTAMP) + to_hours(CAST(day({date}) % 25 AS INTEGER)), "
@@ -165,6 +184,14 @@ ORACLES = {
     "all_conditions": f"WITH {CONDITIONS} SELECT {_COND} FROM cond WHERE date = {DAY}",
     "nearest_one": _nearest(f"date = {DAY}"),
     "nearest_all": _nearest("TRUE"),
+    "nearest_many": f"""WITH points AS (SELECT o_orderkey AS point_id, {_around_the_world("o_orderkey", 10)} FROM orders),
+places AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS station_id, c_name AS station_name, {_around_the_world("(c_custkey + 17)", 7)} FROM customer),
+{_nearest_many("points", "places")}""",
+    "nearest_suppliers": f"""WITH {WEATHER}, points AS (
+  SELECT s_suppkey AS point_id, {DAY} AS date, CAST(s_suppkey * 37 % 2100 AS DOUBLE) / 100.0e0 + 24.003e0 AS latitude,
+    CAST(s_suppkey * 53 % 2300 AS DOUBLE) / 100.0e0 + 123.007e0 AS longitude FROM supplier),
+{_nearest_many("points", "weather")}""",
     "sql_all_conditions": f"WITH {WEATHER} SELECT {_HEAD} FROM weather WHERE date = {DAY}",
     "sql_hottest": _extreme("max", "max_temperature_c", f"date = {DAY}"),
     "sql_coldest": _extreme("min", "min_temperature_c", f"date = {DAY}"),

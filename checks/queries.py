@@ -100,6 +100,41 @@ def nearest_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(found.select("date", "station_id", "station_name", F.round("distance_km", 6).alias("distance_km")))
 
 
+def _around_the_world(key, days: int) -> list:
+    """A day and coordinates from a key: the whole globe, both poles and both sides of the 180th meridian."""
+    return [
+        F.date_add(F.lit(DAY), (key % days).cast("int")).alias("date"),
+        ((key * 7919 % 180001).cast("double") / F.lit(1000.0) - F.lit(90.0)).alias("latitude"),
+        ((key * 104729 % 360001).cast("double") / F.lit(1000.0) - F.lit(180.0)).alias("longitude"),
+    ]
+
+
+def nearest_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as points, customers as stations, dealt over the globe and ten days; stations lack on three of them."""
+    stations = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("station_id"),
+        F.col("c_name").alias("station_name"),
+        *_around_the_world(F.col("c_custkey") + 17, 7),
+    )
+    points = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("point_id"), *_around_the_world(F.col("o_orderkey"), 10)
+    )
+    found = q.nearest_to_points(stations, points)
+    return plain(found.select("point_id", "date", "station_id", "station_name", F.round("distance_km", 6).alias("distance_km")))
+
+
+def nearest_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published stations of one day around points that lie close together, by their suppliers."""
+    key = F.col("s_suppkey")
+    points = table(spark, sf_dir, "supplier").select(
+        key.alias("point_id"),
+        ((key * 37 % 2100).cast("double") / F.lit(100.0) + F.lit(24.003)).alias("latitude"),
+        ((key * 53 % 2300).cast("double") / F.lit(100.0) + F.lit(123.007)).alias("longitude"),
+    )
+    found = q.nearest_to_points(published_conditions(spark, sf_dir), points, DAY)
+    return plain(found.select("point_id", "date", "station_id", "station_name", F.round("distance_km", 6).alias("distance_km")))
+
+
 def _sql(text: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         sql.register_view(published_conditions(spark, sf_dir))
@@ -474,6 +509,8 @@ QUERIES = {
     "all_conditions": all_conditions,
     "nearest_one": nearest_one,
     "nearest_all": nearest_all,
+    "nearest_many": nearest_many,
+    "nearest_suppliers": nearest_suppliers,
     "sql_all_conditions": _sql("SELECT * FROM all_weather_conditions(DATE '2024-01-05')"),
     "sql_hottest": _sql("SELECT * FROM hottest(DATE '2024-01-05')"),
     "sql_coldest": _sql("SELECT * FROM coldest(p_date => DATE '2024-01-05')"),

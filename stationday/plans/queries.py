@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stationday.functions.geo import check_coordinates, distance_km
 from stationday.operators.extremes import Named, extreme_rows, named_extremes
 from stationday.operators.joins import per_date
+from stationday.operators.nearest import nearest_to_points as _nearest_to_points
 
 SUMMARY = (
     Named("max_temperature_c", True, "highest_max_temperature_station_name", "highest_max_temperature_c"),
@@ -76,6 +77,13 @@ def nearest_stations(
     return ties.groupBy(F.col("date").alias("_day")).agg(first).select("first.*")
 
 
+def nearest_to_points(conditions: DataFrame, points: DataFrame, date: dt.date | None = None) -> DataFrame:
+    """``nearest_stations`` for a table of points: ``point_id, latitude, longitude`` and, without ``date``, a ``date`` each."""
+    if date is not None:
+        points = points.withColumn("date", F.lit(date))
+    return _nearest_to_points(on_date(conditions, date), points)
+
+
 def daily_summary(conditions: DataFrame, date: dt.date | None = None) -> DataFrame:
     """One row per day, ten columns; a day without rows gives none."""
     return named_extremes(on_date(conditions, date), SUMMARY, latest="observed_at").orderBy("date")
