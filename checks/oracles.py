@@ -296,4 +296,11 @@ FROM orders WHERE o_orderkey % 3 <> 0""",
     "raw_csv_split_roundtrip": RAW,
     "full_rebuild": f"WITH {VALID_CONDITIONS} SELECT * REPLACE ({_hour_text('CAST(date AS DATE)')} AS observed_at) "
     f"FROM (SELECT {_COND} FROM cond)",
+    "rebuild_with_bad_days": f"WITH {VALID_CONDITIONS} SELECT * REPLACE ({_hour_text('CAST(date AS DATE)')} AS observed_at) "
+    f"FROM (SELECT {_COND} FROM cond WHERE day(date) NOT IN (4, 7, 10, 13, 16, 19, 22, 25))",
+    "failed_snapshots": """WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS date FROM events),
+failures(day, source, "check") AS (VALUES (4, 'precipitation', 'raw_files'), (7, 'max_wind', 'raw_files'), (10, NULL, 'raw_objects'),
+  (13, 'min_temperature', 'valid_daily_weather_key'), (16, NULL, 'pollen_payloads'), (19, NULL, 'valid_pollen_values'),
+  (22, NULL, 'one_wmo_id'), (25, NULL, 'same_keys'))
+SELECT CAST(date AS VARCHAR) AS snapshot_date, source, "check" FROM days JOIN failures ON day(date) = failures.day""",
 }

@@ -21,6 +21,7 @@ from checks.standins import (
     table,
     wide,
 )
+from stationday.errors import DataQualityError
 from stationday.functions.text import csv_fields, lenient_double, strict_cast, strip_text
 from stationday.functions.time import (
     PARTS,
@@ -63,7 +64,7 @@ from stationday.sinks.metrics import metric_rows
 from stationday.sinks.parquet import write_verified
 from stationday.sources.landing import payload_manifest, write_landing, landing_rows
 from stationday.sources.published import read_declared, read_published
-from stationday.sources.rawcsv import WHOLE_FILE_BYTES
+from stationday.sources.rawcsv import file_payloads
 from stationday.sources.rawjson import parse_object
 
 DAY = dt.date(2024, 1, 5)
@@ -426,10 +427,10 @@ def written_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- raw files
 
 
-def _write_raw(spark: SparkSession, rows: DataFrame, root: str) -> None:
+def _write_raw(spark: SparkSession, rows: DataFrame, root: str, spoil=lambda name, files: files) -> None:
     """Long rows as raw measurement files: one header per file, legacy encoding, a fixed hour a day.
 
-    Hours run from 1 to 24; the file of a 24th reads 24:00.
+    Hours run from 1 to 24; the file of a 24th reads 24:00. ``spoil`` may change the files of a measurement.
     """
     day = F.dayofmonth("date")
     texts = {
@@ -456,32 +457,36 @@ def _write_raw(spark: SparkSession, rows: DataFrame, root: str) -> None:
             *(texts[p].alias(header) for p, header in TIME_HEADERS.items()),
             *(F.col(s).cast("string").alias(h) for s, h in zip(slots, measures)),
         )
+        files = spoil(name, files)
         writer = files.hint("rebalance", "key").write.partitionBy("key", "file").mode("append")
         with java_charsets(spark):
             writer.option("header", "true").option("escape", '"').option("encoding", MEASUREMENT_CHARSET).csv(root)
 
 
-def _raw_roundtrip(whole_file_bytes: int):
+def _raw_roundtrip(whole: bool):
+    """Raw files back to rows, as whole payloads or as lines of files cut anywhere."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = work_folder(spark, "raw")
         _write_raw(spark, long_events(spark, sf_dir), root)
-        rows = clean.measurement_file_rows(
-            spark, root, whole_file_bytes=whole_file_bytes, pattern=PARTS_PATTERN, names=None
-        )
+        if whole:
+            rows = clean.landed_measurement_rows(file_payloads(spark, root, PARTS_PATTERN))
+        else:
+            rows = clean.measurement_file_rows(spark, root, pattern=PARTS_PATTERN, names=None)
         cleaned = clean.clean_measurements(rows).withColumn("observed_at", iso_timestamp(F.col("observed_at")))
         return plain(cleaned.drop("observed_text"))
 
     return run
 
 
-def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """End to end: raw files and pollen responses, landed, cleaned, checked, merged and published."""
+def _rebuilt(spark: SparkSession, sf_dir: str, spoil=lambda name, files: files, spoil_pollen=lambda rows: rows, through=rebuild):
+    """Raw files and pollen responses, landed, cleaned, checked, merged and published; the warehouse and what failed."""
     root = work_folder(spark, "full")
     warehouse = Warehouse(f"{root}/warehouse")
     keys = ["snapshot_date", "source", "station_id", "wmo_station_id", "date"]
     names = ("value", "quality", "direction", "direction_quality")
     long = long_events(spark, sf_dir).groupBy(*keys).agg(*(F.max(c).alias(c) for c in names))
-    _write_raw(spark, long, f"{root}/incoming")
+    _write_raw(spark, long, f"{root}/incoming", spoil)
     described = master(spark, sf_dir)
     renamed = described.select(*(F.col(c).alias(h) for c, h in STATION_MASTER_HEADERS.items()))
     with java_charsets(spark):
@@ -489,15 +494,82 @@ def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamp = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
     write_landing(landing_rows(spark, f"{root}/incoming", stamp, PARTS_PATTERN), warehouse.landing)
     in_use = long.where(F.col("wmo_station_id").isNotNull()).select("station_id", "snapshot_date").distinct()
-    responses(spark, sf_dir, index_values=6).join(in_use, ["station_id", "snapshot_date"]).write.parquet(f"{root}/responses")
+    pollen_rows = responses(spark, sf_dir, index_values=6).join(in_use, ["station_id", "snapshot_date"])
+    spoil_pollen(pollen_rows).write.parquet(f"{root}/responses")
     land_pollen(spark.read.parquet(f"{root}/responses"), warehouse.landing, stamp)
     # one date per snapshot: the calendar bounds the list
     dates = [row[0] for row in long.select("date").distinct().collect()]
-    rebuild(spark, warehouse, f"{root}/master/*.csv", dates)
+    try:
+        through(spark, warehouse, f"{root}/master/*.csv", dates)
+        failures = []
+    except DataQualityError as error:
+        failures = error.failures
+    return warehouse, failures
+
+
+def _published(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     published = read_published(spark, warehouse.conditions)
     return plain(published.withColumn("observed_at", iso_timestamp(F.col("observed_at"))))
 
 
+def full_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end: every day is good."""
+    warehouse, failures = _rebuilt(spark, sf_dir)
+    if failures:
+        raise DataQualityError(f"Unexpected failures: {failures!r}")
+    return _published(spark, warehouse)
+
+
+def _spoiled(name: str, files: DataFrame) -> DataFrame:
+    """What is wrong on some days: a value, a time, a lacking file, a row given twice, two WMO ids of a station."""
+
+    def on(*days: int):
+        return F.substring("key", 7, 2).cast("int").isin(*days)
+
+    def change(column: str, day: int, text: str) -> DataFrame:
+        return files.withColumn(column, F.when(on(day), F.lit(text)).otherwise(F.col(column)))
+
+    if name == "precipitation":
+        return change("7日の値の品質情報", 4, "many").withColumn(
+            "国際地点番号", F.when(on(22), F.concat("国際地点番号", F.lit("-B"))).otherwise(F.col("国際地点番号"))
+        )
+    if name == "max_wind":
+        return change(TIME_HEADERS["hour"], 7, "25")
+    if name == "max_gust":
+        return files.where(~on(10))
+    if name == "min_temperature":
+        return files.unionByName(files.where(on(13)))
+    return files
+
+
+def _spoiled_pollen(rows: DataFrame) -> DataFrame:
+    """A type given twice, an index out of range, stations without a response."""
+    day = F.dayofmonth("snapshot_date")
+    info = (
+        F.lit('"pollenTypeInfo":[{"code":"TREE"},{"code":"TREE"}],"plantInfo":[]'),
+        F.lit('"pollenTypeInfo":[{"code":"TREE","indexInfo":{"value":9}}],"plantInfo":[]'),
+    )
+    head = F.date_format("snapshot_date", "'{\"dailyInfo\":[{\"date\":{\"year\":'yyyy',\"month\":'M',\"day\":'d'},'")
+    text = F.when(day == 16, F.concat(head, info[0], F.lit("}]}"))).when(day == 19, F.concat(head, info[1], F.lit("}]}")))
+    rows = rows.withColumn("response", F.coalesce(text, "response"))
+    lacking = rows.where(day == 25).agg(F.min("station_id").alias("lacking"))
+    kept = rows.join(F.broadcast(lacking), (day == 25) & (F.col("station_id") == F.col("lacking")), "left_anti")
+    return kept
+
+
+def rebuild_with_bad_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight days fail, each in its own way; exactly the others are published."""
+    warehouse, _ = _rebuilt(spark, sf_dir, _spoiled, _spoiled_pollen)
+    return _published(spark, warehouse)
+
+
+def failed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, but what the table of failures says."""
+    warehouse, _ = _rebuilt(spark, sf_dir, _spoiled, _spoiled_pollen)
+    failures = spark.read.parquet(warehouse.failures)
+    return plain(failures.select("snapshot_date", "source", "check").distinct())
+
+
 QUERIES = {
     "wide_daily": wide_daily,
     "daily_summary_all": _by_day(q.daily_summary),
@@ -557,7 +629,9 @@ QUERIES = {
     "union_by_name": union_by_name,
     "geojson_roundtrip": geojson_roundtrip,
     "geojson_documents": written_geojson,
-    "raw_csv_roundtrip": _raw_roundtrip(whole_file_bytes=WHOLE_FILE_BYTES),
-    "raw_csv_split_roundtrip": _raw_roundtrip(whole_file_bytes=0),
+    "raw_csv_roundtrip": _raw_roundtrip(whole=True),
+    "raw_csv_split_roundtrip": _raw_roundtrip(whole=False),
     "full_rebuild": full_rebuild,
+    "rebuild_with_bad_days": rebuild_with_bad_days,
+    "failed_snapshots": failed_snapshots,
 }

@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from stationday.functions.checked import Checked
 from stationday.schemas import PLANT_CODES, POLLEN_COLUMNS, POLLEN_INDEX_RANGE, POLLEN_INFO_TYPE
 
 _TYPES = tuple(POLLEN_COLUMNS)
@@ -17,19 +18,23 @@ def _or_empty(array: Column) -> Column:
     return F.coalesce(array, F.array())
 
 
-def single_day(response: Column, station_id: Column) -> Column:
-    """The one forecast day of a response, else an error naming the station."""
+def checked_day(response: Column, station_id: Column) -> Checked:
+    """The one forecast day of a response, else a failure naming the station."""
     days = response["dailyInfo"]
     message = F.concat(
         F.lit("Expected exactly one pollen forecast day for station "), F.coalesce(station_id, F.lit("NULL"))
     )
     # a NULL entry in the list is no forecast day either
-    return F.when((F.coalesce(F.size(days), F.lit(0)) == 1) & days[0].isNotNull(), days[0]).otherwise(
-        F.raise_error(message)
-    )
+    first = F.get(days, F.lit(0))
+    one = (F.coalesce(F.size(days), F.lit(0)) == 1) & first.isNotNull()
+    return Checked(first, ~F.coalesce(one, F.lit(False)), message)
+
+
+def single_day(response: Column, station_id: Column) -> Column:
+    return checked_day(response, station_id).or_raise()
 
 
-def _unique_codes(items: Column, what: str, station_id: Column) -> Column:
+def _unique_codes(items: Column, what: str, station_id: Column) -> Checked:
     codes = F.transform(items, lambda item: item["code"])
     message = F.concat(
         F.lit(f"Duplicate {what} for station "),
@@ -37,17 +42,17 @@ def _unique_codes(items: Column, what: str, station_id: Column) -> Column:
         F.lit(": "),
         F.array_join(codes, ", "),
     )
-    return F.when(F.size(codes) == F.size(F.array_distinct(codes)), items).otherwise(F.raise_error(message))
+    return Checked(items, F.size(codes) != F.size(F.array_distinct(codes)), message)
 
 
-def known_types(day: Column, station_id: Column) -> Column:
-    """Type entries with a known code; a code given twice is an error."""
+def known_types(day: Column, station_id: Column) -> Checked:
+    """Type entries with a known code; a code given twice is a failure."""
     items = F.filter(_or_empty(day["pollenTypeInfo"]), lambda item: item["code"].isin(*_TYPES))
     return _unique_codes(items, "pollen type", station_id)
 
 
-def known_plants(day: Column, station_id: Column) -> Column:
-    """Plant entries with a known code and a known type; a code given twice is an error."""
+def known_plants(day: Column, station_id: Column) -> Checked:
+    """Plant entries with a known code and a known type; a code given twice is a failure."""
     items = F.filter(
         _or_empty(day["plantInfo"]),
         lambda item: item["code"].isin(*PLANT_CODES) & item["plantDescription"]["type"].isin(*_TYPES),

@@ -10,6 +10,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stationday.functions.checked import Checked
 from stationday.schemas import JAPAN_TIME, TIME_HEADERS
 
 PARTS = tuple(TIME_HEADERS)
@@ -21,15 +22,15 @@ def today(now: dt.datetime | None = None) -> dt.date:
     return (now or dt.datetime.now(dt.timezone.utc)).astimezone(ZoneInfo(JAPAN_TIME)).date()
 
 
-def with_observation_time(df: DataFrame, parts: tuple[str, ...] = PARTS) -> DataFrame:
+def with_observation_time(df: DataFrame, parts: tuple[str, ...] = PARTS, failure: str | None = None) -> DataFrame:
     """Replace five trimmed time texts by ``date`` and ``observed_at``.
 
     The wall clock is Japan time and is floored to the hour. Hour 24 is accepted on the full
-    hour only; it moves ``observed_at`` to the next midnight and leaves ``date`` alone.
+    hour only; it moves ``observed_at`` to the next midnight and leaves ``date`` alone. Other texts are an
+    error, or a message in the column ``failure`` names.
     """
     year, month, day, hour, minute = parts
     shown = F.concat_ws(" ", *(F.coalesce(F.col(p), F.lit("NULL")) for p in parts))
-    failure = F.raise_error(F.concat(F.lit("Invalid observation time: "), shown)).cast("date")
     numbers = df.withColumns({f"_{p}": F.col(p).try_cast("int") for p in parts})
     written = F.concat_ws("-", *(F.col(f"_{p}").cast("string") for p in (year, month, day)))
     whole = reduce(and_, (F.col(f"_{p}").isNotNull() for p in parts))
@@ -41,16 +42,21 @@ def with_observation_time(df: DataFrame, parts: tuple[str, ...] = PARTS) -> Data
         & F.col(f"_{minute}").between(0, 59)
         & ~((F.col(f"_{hour}") == 24) & (F.col(f"_{minute}") > 0))
     )
-    dated = numbers.withColumn("_date", written.try_cast("date")).withColumn(
-        "date", F.when(F.coalesce(valid, F.lit(False)), F.col("_date")).otherwise(failure)
-    )
+    message = F.concat(F.lit("Invalid observation time: "), shown)
+    date = Checked(F.col("_date"), ~F.coalesce(valid, F.lit(False)), message)
+    dated = numbers.withColumn("_date", written.try_cast("date"))
+    if failure:
+        dated = dated.withColumns({"date": date.value, failure: date.failure})
+    else:
+        dated = dated.withColumn("date", date.or_raise())
     zero = F.lit(0)
     civil = F.make_timestamp(
         F.year("date"), F.month("date"), F.dayofmonth("date"), zero, zero, zero, F.lit(JAPAN_TIME)
     ) + F.make_dt_interval(zero, F.col(f"_{hour}"))
     # nine hours ahead all year since 1952; looking the zone up row by row is far slower
     fixed = F.timestamp_seconds(F.unix_date("date") * F.lit(86400).cast("long") + (F.col(f"_{hour}") - 9) * 3600)
-    observed = dated.withColumn("observed_at", F.when(F.col(f"_{year}") >= 1952, fixed).otherwise(civil))
+    at = F.when(F.col(f"_{year}") >= 1952, fixed).otherwise(civil)
+    observed = dated.withColumn("observed_at", F.when(F.col("date").isNotNull(), at))
     return observed.drop(*parts, *(f"_{p}" for p in parts), "_date")
 
 

@@ -13,10 +13,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stationday.errors import DataQualityError
-from stationday.functions.pollen import known_plants, known_types, pollen_group, single_day
-from stationday.functions.text import strict_cast
+from stationday.functions.checked import first_failure
+from stationday.functions.pollen import checked_day, known_plants, known_types, pollen_group
+from stationday.functions.text import checked_cast
 from stationday.functions.time import with_observation_time
 from stationday.operators.joins import first_and_total, in_all
 from stationday.schemas import (
@@ -37,6 +39,7 @@ from stationday.sources.rawjson import pollen_results
 
 KEY = "snapshot_date"
 TIME_TEXT = "observed_text"
+FAILURE = "failure"
 IDS = ("station_id", "wmo_station_id")
 FILE_NAMES = "{" + ",".join(MEASUREMENT_FILES) + "}"
 
@@ -59,10 +62,10 @@ def wanted_columns() -> dict[str, str | Column]:
     }
 
 
-def landed_measurement_rows(landed: DataFrame) -> DataFrame:
+def landed_measurement_rows(landed: DataFrame, failure: str | None = None) -> DataFrame:
     """Text rows of the measurement objects of a landing table."""
     payloads = landed.where(F.col("filename").isin(*MEASUREMENT_FILES)).select(KEY, "filename", "content")
-    return payload_rows(payloads, MEASUREMENT_CHARSET, wanted_columns()).drop("row_no")
+    return payload_rows(payloads, MEASUREMENT_CHARSET, wanted_columns(), failure).drop("row_no")
 
 
 def measurement_file_rows(
@@ -75,16 +78,23 @@ def measurement_file_rows(
 def clean_measurements(rows: DataFrame) -> DataFrame:
     """The long table: typed rows of every measurement, marked by ``source``.
 
-    ``observed_text`` keeps the time as it was written, for ``time_conflicts``.
+    ``observed_text`` keeps the time as it was written, for ``time_conflicts``. If ``rows`` carry ``failure``, so does
+    the table: the first thing wrong with a row, whose values are not to be used then. Otherwise that is an error.
     """
+    gathered = FAILURE in rows.columns
     texts = (F.coalesce(F.col(t), F.lit("NULL")) for t in TIME_HEADERS)
-    timed = with_observation_time(rows.withColumn(TIME_TEXT, F.concat_ws(" ", *texts)))
-    measures = (
-        strict_cast(F.col(name), dtype, F.concat(F.col("filename"), F.lit(f" {name}"))).alias(name)
-        for name, dtype in SLOTS.items()
-    )
+    timed = rows.withColumn(TIME_TEXT, F.concat_ws(" ", *texts))
+    timed = with_observation_time(timed, failure="_time" if gathered else None)
+    measures = {
+        name: checked_cast(F.col(name), dtype, F.concat(F.col("filename"), F.lit(f" {name}"))) for name, dtype in SLOTS.items()
+    }
     source = F.regexp_replace("filename", r"\.csv$", "").alias("source")
-    return timed.select(KEY, source, *IDS, "date", "observed_at", *measures, TIME_TEXT)
+    typed = (
+        (m.value if gathered or isinstance(SLOTS[name], T.StringType) else m.or_raise()).alias(name) for name, m in measures.items()
+    )
+    failures = [F.col(FAILURE), F.col("_time"), *(m.failure for m in measures.values())] if gathered else []
+    problem = [first_failure(*failures).alias(FAILURE)] if gathered else []
+    return timed.select(KEY, source, *IDS, "date", "observed_at", *typed, TIME_TEXT, *problem)
 
 
 def cleaned_table(long: DataFrame, name: str) -> DataFrame:
@@ -132,20 +142,30 @@ def require_one_time(cleaned: DataFrame, groups: list[str]) -> None:
 
 
 def clean_pollen_results(results: DataFrame) -> DataFrame:
-    """One row per station and snapshot with a nested group per pollen type; dated by its key."""
+    """One row per station and snapshot with a nested group per pollen type; dated by its key.
+
+    If ``results`` carry ``failure``, so do the rows; otherwise what is wrong with a response is an error.
+    """
+    gathered = FAILURE in results.columns
     station = F.col("station_id")
-    by_day = results.select(KEY, "station_id", single_day(F.col("response"), station).alias("day"))
-    parts = by_day.select(
-        KEY,
-        "station_id",
-        known_types(F.col("day"), station).alias("types"),
-        known_plants(F.col("day"), station).alias("plants"),
-    )
+    carried = [FAILURE] if gathered else []
+    day = checked_day(F.col("response"), station)
+    by_day = results.select(KEY, "station_id", (day.value if gathered else day.or_raise()).alias("day"), *(
+        [F.coalesce(F.col(FAILURE), day.failure).alias(FAILURE)] if gathered else []
+    ))
+    types, plants = known_types(F.col("day"), station), known_plants(F.col("day"), station)
+    if gathered:
+        lists = [types.value.alias("types"), plants.value.alias("plants")]
+        carried = [first_failure(F.col(FAILURE), types.failure, plants.failure).alias(FAILURE)]
+    else:
+        lists = [types.or_raise().alias("types"), plants.or_raise().alias("plants")]
+    parts = by_day.select(KEY, "station_id", *lists, *carried)
     groups = (
         pollen_group(F.col("types"), F.col("plants"), code).alias(column) for code, column in POLLEN_COLUMNS.items()
     )
-    return parts.select(KEY, "station_id", F.col(KEY).alias("date"), *groups).select(KEY, *POLLEN_SCHEMA.fieldNames())
+    rows = parts.select(KEY, "station_id", F.col(KEY).alias("date"), *groups, *([FAILURE] if gathered else []))
+    return rows.select(KEY, *POLLEN_SCHEMA.fieldNames(), *([FAILURE] if gathered else []))
 
 
-def clean_pollen(payloads: DataFrame) -> DataFrame:
-    return clean_pollen_results(pollen_results(payloads))
+def clean_pollen(payloads: DataFrame, failure: str | None = None) -> DataFrame:
+    return clean_pollen_results(pollen_results(payloads, failure))

@@ -35,6 +35,14 @@ def require_matching(weather: DataFrame, stations: DataFrame, pollen: DataFrame)
     raise_if_any(key_mismatches(used, stations, station_keys), "station_id", MISMATCH)
 
 
+def mismatched_snapshots(weather: DataFrame, pollen: DataFrame) -> DataFrame:
+    """``snapshot_date, station_id`` of stations that weather and pollen do not have once each on a date."""
+    keys = ["station_id", "date"]
+    wrong = key_mismatches(weather, pollen, keys).select(*keys)
+    rows = weather.select("snapshot_date", *keys).unionByName(pollen.select("snapshot_date", *keys))
+    return rows.join(wrong, keys).select("snapshot_date", "station_id")
+
+
 def join_conditions(weather: DataFrame, stations: DataFrame, pollen: DataFrame) -> DataFrame:
     """Inner joins on the unique keys, in the published column order.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from stationday.errors import DataQualityError
 from stationday.operators.joins import duplicate_keys, first_and_total, in_all, per_date, raise_if_any
 from stationday.operators.quality import date_conflicts
 from stationday.schemas import DAILY_WEATHER_SCHEMA, MEASUREMENTS, SLOTS
+from stationday.session import work_folder
 
 
 def full_merge(long: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
@@ -30,33 +32,63 @@ def measure_columns(slots: dict[str, Column] | None = None) -> dict[str, Column]
     }
 
 
-def few_values(df: DataFrame, column: str, limit: int = 256) -> list | None:
-    """The sorted distinct values of a column, or None if there are more than ``limit``."""
-    values = [row[0] for row in df.where(F.col(column).isNotNull()).select(column).distinct().limit(limit + 1).collect()]
-    return sorted(values) if len(values) <= limit else None
+def text_code(text: Column) -> Column:
+    """A number that stands for a text; ``text_codes`` maps it back."""
+    return F.when(text.isNotNull(), F.xxhash64(text))
 
 
-def wide_rows(cleaned: DataFrame, directions: list[str] | None = None) -> DataFrame:
+def text_codes(df: DataFrame, column: str = "direction") -> DataFrame:
+    """``code, text`` of each distinct text of a column."""
+    return df.where(F.col(column).isNotNull()).select(text_code(F.col(column)).alias("code"), F.col(column).alias("text")).distinct()
+
+
+def written_codes(df: DataFrame, column: str = "direction") -> DataFrame:
+    """``text_codes`` as a table, whose size is known when it is joined."""
+    path = work_folder(df.sparkSession, "codes")
+    text_codes(df, column).write.parquet(path)
+    return _unambiguous(df.sparkSession.read.schema("code long, text string").parquet(path))
+
+
+def extended_codes(cleaned: DataFrame, path: str, column: str = "direction") -> DataFrame:
+    """The kept table of codes below ``path`` with the texts of ``cleaned`` that it lacked."""
+    spark = cleaned.sparkSession
+    found = text_codes(cleaned, column)
+    try:
+        known = spark.read.schema("code long, text string").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        found = found.join(known, ["code", "text"], "left_anti")
+    found.write.mode("append").parquet(path)
+    return _unambiguous(spark.read.schema("code long, text string").parquet(path))
+
+
+def _unambiguous(codes: DataFrame) -> DataFrame:
+    raise_if_any(duplicate_keys(codes.distinct(), ["code"]), "code", "Codes that stand for several texts")
+    return codes.distinct()
+
+
+def wide_rows(cleaned: DataFrame, codes: DataFrame | None = None, oldest: DataFrame | None = None) -> DataFrame:
     """``daily_weather`` of every snapshot of the long table, without the eager checks.
 
     ``observed_at`` is the oldest hour of all sources, rows without a WMO id included; the merge
     itself leaves those rows out.
 
-    Spark aggregates text by sorting but numbers by hashing, which is about twice as fast here.
-    With ``directions``, all wind directions there are (``few_values``), the merge works on their
-    place in that list and puts the text back afterwards.
+    Spark aggregates text by sorting but numbers by hashing, which is about twice as fast here. So wind
+    directions are merged as codes (``codes``, by default those of ``cleaned``), and joined back to their texts afterwards.
     """
     keys = ["snapshot_date", "station_id", "wmo_station_id", "date"]
-    oldest = cleaned.groupBy("snapshot_date").agg(F.min("observed_at").alias("observed_at"))
+    if oldest is None:
+        oldest = cleaned.groupBy("snapshot_date").agg(F.min("observed_at").alias("observed_at"))
     with_id = cleaned.where(F.col("wmo_station_id").isNotNull())
-    if directions:
-        names = F.array(*(F.lit(d) for d in directions))
-        merged = full_merge(with_id, keys, measure_columns({"direction": F.array_position(names, F.col("direction"))}))
-        text = {c: F.get(names, (F.col(c) - 1).cast("int")) for c in merged.columns if c.endswith("_direction")}
-        merged = merged.withColumns(text)
-    else:
-        merged = full_merge(with_id, keys, measure_columns())
-    return merged.join(per_date(oldest), "snapshot_date").select("snapshot_date", *DAILY_WEATHER_SCHEMA.fieldNames())
+    if codes is None:
+        codes = written_codes(with_id)
+    wide = full_merge(with_id, keys, measure_columns({"direction": text_code(F.col("direction"))}))
+    for column in [c for c in wide.columns if c.endswith("_direction")]:
+        texts = codes.select(F.col("code").alias(column), F.col("text").alias("_text"))
+        wide = wide.join(texts, column, "left").drop(column).withColumnRenamed("_text", column)
+    return wide.join(per_date(oldest), "snapshot_date").select("snapshot_date", *DAILY_WEATHER_SCHEMA.fieldNames())
 
 
 def require_one_date(cleaned: DataFrame) -> None:
@@ -82,6 +114,6 @@ def require_consistent_ids(weather: DataFrame) -> None:
 def daily_weather(cleaned: DataFrame) -> DataFrame:
     """``wide_rows`` after its two checks; the checks are actions, the result stays lazy."""
     require_one_date(cleaned)
-    weather = wide_rows(cleaned, few_values(cleaned, "direction"))
+    weather = wide_rows(cleaned)
     require_consistent_ids(weather)
     return weather

@@ -19,6 +19,9 @@ from stationday.sources.rawcsv import payload_rows
 
 log = logging.getLogger(__name__)
 
+MISSING_STATIONS = "Missing station master rows for station ids"
+INVALID_STATIONS = "Invalid required station master fields for station ids"
+
 
 def missing_columns(header: list[str]) -> list[str]:
     return sorted(set(STATION_MASTER_HEADERS.values()) - set(header))
@@ -80,24 +83,35 @@ class Stations:
     duplicate_count: int
 
 
-def wmo_stations(weather: DataFrame, master: DataFrame) -> Stations:
-    """The dimension of the stations in ``weather``.
-
-    A station without a master row, or with a name or coordinate missing or unreadable, is an
-    error; a station with several master rows takes the first and is reported.
-    """
+def described_stations(weather: DataFrame, master: DataFrame) -> DataFrame:
+    """``describe_stations`` of the stations in ``weather``, written once."""
     described = describe_stations(stations_in_use(weather), master)
     path = work_folder(weather.sparkSession, "described-stations")
     described.write.parquet(path)
-    described = weather.sparkSession.read.schema(described.schema).parquet(path)
-    raise_if_any(described.where("n IS NULL"), "station_id", "Missing station master rows for station ids")
-    raise_if_any(
-        described.where(any_null(STATION_SCHEMA.fieldNames())),
-        "station_id",
-        "Invalid required station master fields for station ids",
-    )
+    return weather.sparkSession.read.schema(described.schema).parquet(path)
+
+
+def refused_stations(described: DataFrame) -> DataFrame:
+    """``station_id, reason`` of stations without a master row, or with a name or coordinate missing or unreadable."""
+    missing = F.col("n").isNull()
+    reason = F.when(missing, MISSING_STATIONS).otherwise(INVALID_STATIONS)
+    return described.where(missing | any_null(STATION_SCHEMA.fieldNames())).select("station_id", reason.alias("reason"))
+
+
+def usable_stations(described: DataFrame) -> Stations:
+    """The stations that are described whole; one with several master rows takes the first and is reported."""
     # every station with several master rows; the master is a list of stations, not of observations
     ids = [r[0] for r in described.where("n > 1").select("station_id").distinct().orderBy("station_id").collect()]
     if ids:
         log.warning("Duplicate station master rows, first row used: %d stations, %r", len(ids), ids)
-    return Stations(described.select(*STATION_SCHEMA.fieldNames()), ids, len(ids))
+    whole = described.where(F.col("n").isNotNull() & ~any_null(STATION_SCHEMA.fieldNames()))
+    return Stations(whole.select(*STATION_SCHEMA.fieldNames()), ids, len(ids))
+
+
+def wmo_stations(weather: DataFrame, master: DataFrame) -> Stations:
+    """The dimension of the stations in ``weather``; ``refused_stations`` are an error."""
+    described = described_stations(weather, master)
+    refused = refused_stations(described)
+    for reason in (MISSING_STATIONS, INVALID_STATIONS):
+        raise_if_any(refused.where(F.col("reason") == reason), "station_id", reason)
+    return usable_stations(described)

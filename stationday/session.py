@@ -9,6 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import SparkSession
 
 _JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
+_CODING_ERRORS = "spark.sql.legacy.codingErrorAction"
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
@@ -25,18 +26,22 @@ def configured(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 @contextmanager
-def java_charsets(spark: SparkSession):
+def java_charsets(spark: SparkSession, strict: bool = True):
     """Allow Shift_JIS and Windows-31J while an expression is put into a plan.
 
-    ``decode`` and ``encode`` keep the setting they were analysed under, so it is set
-    back right away and the action may run later.
+    ``decode`` and ``encode`` keep the settings they were analysed under, so these are set
+    back right away and the action may run later. Bytes that are no text of the charset are an error, or,
+    without ``strict``, become the replacement character.
     """
-    before = spark.conf.get(_JAVA_CHARSETS)
-    spark.conf.set(_JAVA_CHARSETS, "true")
+    wanted = {_JAVA_CHARSETS: "true", _CODING_ERRORS: "false" if strict else "true"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_JAVA_CHARSETS, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

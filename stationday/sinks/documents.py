@@ -10,6 +10,7 @@ from stationday.errors import VerificationError
 from stationday.functions.time import ISO_TIMESTAMP
 from stationday.operators.joins import per_date
 from stationday.schemas import JAPAN_TIME
+from stationday.session import work_folder
 
 GEOJSON_HEAD, GEOJSON_TAIL = '{"type":"FeatureCollection","features":[', "]}"
 #: Features of one document, some 15 MB of text. A day with more has several documents, none is left out.
@@ -70,26 +71,31 @@ def write_documents(documents: DataFrame, path: str, day: str) -> dict[str, int]
     """Write the documents of each day, one a line, read them back and compare; returns the metrics.
 
     A day with one document is one file, which is JSON by itself. Read back are the texts, and the
-    features that a JSON parser finds in them.
+    features that a JSON parser finds in them: first in a folder of the run, and only if all is well there
+    the days below ``path`` are replaced, and compared again.
     """
+    spark = documents.sparkSession
     seen = Observation()
-    (
-        documents.observe(
-            seen, *_line_metrics(day, "line", F.col("features")), F.collect_set(day).alias("days")
-        )
-        .select(day, "line")
-        .write.partitionBy(day)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .text(path)
-    )
+    draft = work_folder(spark, "draft-documents")
+    observed = documents.observe(
+        seen, *_line_metrics(day, "line", F.col("features")), F.collect_set(day).alias("days")
+    ).select(day, "line")
+    observed.write.partitionBy(day).text(draft)
     sent = seen.get
     days = sent.pop("days")
     if not days:
         return sent
-    kept = read_documents(documents.sparkSession, path, documents.schema[day]).where(F.col(day).isin(sorted(days)))
+    _same_documents(sent, spark, draft, documents.schema[day], days)
+    # a document is one line; the lines of a day stay in its own files
+    lines = read_documents(spark, draft, documents.schema[day])
+    lines.write.partitionBy(day).mode("overwrite").option("partitionOverwriteMode", "dynamic").text(path)
+    return _same_documents(sent, spark, path, documents.schema[day], days)
+
+
+def _same_documents(sent: dict, spark: SparkSession, path: str, day: T.StructField, days: list) -> dict:
+    kept = read_documents(spark, path, day).where(F.col(day.name).isin(sorted(days)))
     found = F.coalesce(F.json_array_length(F.get_json_object("line", "$.features")), F.lit(-1))
-    back = kept.agg(*_line_metrics(day, "line", found)).first().asDict()
+    back = kept.agg(*_line_metrics(day.name, "line", found)).first().asDict()
     if sent != back:
         raise VerificationError(f"Documents read back from {path} differ from those written: {sent} != {back}")
     return back

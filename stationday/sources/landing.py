@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +20,7 @@ from stationday.operators.joins import SHOWN_IDS, first_and_total, in_all
 from stationday.schemas import LANDING_SCHEMA, POLLEN_FILE, RAW_FILENAMES, SOURCE_URLS
 from stationday.sources.published import read_declared
 from stationday.session import work_folder
-from stationday.sources.rawcsv import OBJECT_KEY, existing, file_payloads
+from stationday.sources.rawcsv import OBJECT_KEY, file_payloads
 
 
 def digest(content: Column) -> Column:
@@ -131,9 +132,21 @@ def require_objects(expected: DataFrame, landed: DataFrame) -> None:
 
 
 def day_folders(spark: SparkSession, root: str, dates: Iterable[dt.date]) -> list[str]:
-    """The folders ``YYYYMMDD`` below ``root`` that exist, of the given days only; none is an error."""
-    wanted = [f"{root.rstrip('/')}/{day:%Y%m%d}" for day in dates]
-    found = existing(spark, wanted)
+    """The folders ``YYYYMMDD`` below ``root`` that hold files, of the given days only; none is an error.
+
+    The root is listed once; no file is opened.
+    """
+    wanted = {f"{day:%Y%m%d}" for day in dates}
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = []
+    else:
+        key = F.regexp_extract("path", r"/(\d{8})/[^/]+$", 1)
+        found = [row[0] for row in files.select(key.alias("key")).where(F.col("key").isin(*wanted)).distinct().collect()]
     if not found:
-        raise MissingRawObjects(f"Raw objects missing: no folder of {wanted[:SHOWN_IDS]!r}{in_all(wanted[:SHOWN_IDS], len(wanted))}")
-    return found
+        shown = sorted(wanted)[:SHOWN_IDS]
+        raise MissingRawObjects(f"Raw objects missing: no folder of {shown!r} below {root}{in_all(shown, len(wanted))}")
+    return [f"{root.rstrip('/')}/{key}" for key in sorted(found)]

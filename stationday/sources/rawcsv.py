@@ -2,29 +2,36 @@
 
 Two scans give the same rows:
 
-* ``payload_rows`` takes one payload per row. Header and lines sit in that row, so columns are
-  resolved and lines split without any shuffle or join. It suits the usual small daily files.
-* ``file_rows`` takes files. Files up to ``WHOLE_FILE_BYTES`` go through ``payload_rows``; larger
-  ones are read as splittable lines, so that one huge file is spread over many tasks.
+* ``payload_rows`` takes one payload per row, as landed objects are. Header and lines sit in that row, so columns
+  are resolved and records split without any shuffle or join.
+* ``file_rows`` takes files of any size, read once as splittable lines, so that one huge file is spread over
+  many tasks; a file's header is joined back by its path.
+
+The header is the first line that is not empty. A quoted field may hold line breaks, which become ``\\n``. What
+is wrong with a file or a line is an error, or, with ``failure``, a message in the column of that name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stationday.functions.text import column_position, csv_fields
+from stationday.functions.checked import first_failure
+from stationday.functions.text import checked_csv_fields, checked_position, matching_names
 from stationday.functions.time import snapshot_date
 from stationday.operators.joins import broadcast_if_small
-from stationday.session import java_charsets
+from stationday.session import java_charsets, work_folder
 
 # target names to header patterns; a pattern may depend on ``filename``, so it may be a Column
 Columns = Mapping[str, str | Column]
 
-WHOLE_FILE_BYTES = 16 * 1024 * 1024
+#: Lines of one record at most; a quote that is still open then never closes.
+RECORD_LINES = 10_000
 _LINE_BREAK = r"\r\n|\n|\r"
+_RECORD_MARK = "\u0002"
+_UNREADABLE = "\ufffd"
 OBJECT_KEY = r"(?:^|/)(\d{8})/([^/]+)$"
 
 
@@ -35,53 +42,76 @@ def object_key_columns(path: Column, pattern: str = OBJECT_KEY) -> tuple[Column,
     return day, name
 
 
-def _layout(header: Column, columns: Columns) -> Column:
-    """Where each wanted column stands in a file, and how many fields a line must have."""
-    return F.struct(
-        F.size(header).alias("width"),
-        *(
-            column_position(header, F.lit(pattern) if isinstance(pattern, str) else pattern).alias(target)
-            for target, pattern in columns.items()
-        ),
+def _with_layout(heads: DataFrame, keep: list[str], columns: Columns) -> DataFrame:
+    """Replaces the header line ``header`` by ``layout``: where each wanted column stands in a file, how many fields a line
+    must have, and what is wrong with the header. Step by step, so that no expression holds another many times."""
+    fields = checked_csv_fields(F.coalesce("header", F.lit("")))
+    read = heads.select(*keep, fields.value.alias("_names"), fields.failure.alias("_malformed"))
+    read = read.withColumn("_names", F.coalesce("_names", F.array()))
+    patterns = {t: F.lit(p) if isinstance(p, str) else p for t, p in columns.items()}
+    matched = read.withColumns({f"_{t}": matching_names(F.col("_names"), p) for t, p in patterns.items()})
+    places = {t: checked_position(F.col("_names"), p, F.col(f"_{t}")) for t, p in patterns.items()}
+    layout = F.struct(
+        F.size("_names").alias("width"),
+        first_failure(F.col("_malformed"), *(p.failure for p in places.values())).alias("failure"),
+        *(p.found.alias(target) for target, p in places.items()),
     )
+    return matched.select(*keep, layout.alias("layout"))
 
 
-def _select_fields(lines: DataFrame, columns: Columns, keep: list[str]) -> DataFrame:
+def _select_fields(lines: DataFrame, columns: Columns, keep: list[str], failure: str | None) -> DataFrame:
     """The wanted fields of each line as trimmed texts, NULL where empty."""
-    message = F.concat(
-        F.lit("Expected "),
-        F.col("layout.width"),
-        F.lit(" fields, found "),
-        F.size("fields"),
-        F.lit(" in line: "),
-        F.col("line"),
+    read = checked_csv_fields(F.col("line"))
+    width = F.concat(
+        F.lit("Expected "), F.col("layout.width"), F.lit(" fields, found "), F.size("fields"), F.lit(" in line: "), F.col("line")
     )
-    checked = F.when(F.size("fields") == F.col("layout.width"), F.col("fields")).otherwise(
-        F.raise_error(message).cast("array<string>")
+    wrong = F.size("fields") != F.col("layout.width")
+    texts = [F.nullif(F.get("fields", F.col(f"layout.{t}") - 1), F.lit("")).alias(t) for t in columns]
+    if failure is None:
+        split = lines.withColumn("fields", read.or_raise())
+        checked = (
+            F.when(F.col("layout.failure").isNotNull(), F.raise_error(F.col("layout.failure")))
+            .when(wrong, F.raise_error(width))
+            .otherwise(F.col("fields"))
+        )
+        return split.withColumn("fields", checked).select(*keep, *texts)
+    unreadable = F.concat(F.lit("Unreadable characters in line: "), F.col("line"))
+    problem = first_failure(
+        F.when(F.contains("line", F.lit(_UNREADABLE)), unreadable), F.col("layout.failure"), F.col("_malformed"), F.when(wrong, width)
     )
-    texts = (F.nullif(F.get("fields", F.col(f"layout.{t}") - 1), F.lit("")).alias(t) for t in columns)
-    return (
-        lines.withColumn("fields", csv_fields(F.col("line"))).withColumn("fields", checked).select(*keep, *texts)
+    split = lines.withColumns({"fields": read.value, "_malformed": read.failure}).withColumn(failure, problem)
+    sound = split.withColumn("fields", F.when(F.col(failure).isNull(), F.col("fields")))
+    return sound.select(*keep, *texts, failure)
+
+
+def records(text: Column) -> Column:
+    """The lines of a text; line breaks between quotes do not end one, and become ``\\n``."""
+    outside = lambda part, i: F.when(i % 2 == 0, F.regexp_replace(part, _LINE_BREAK, _RECORD_MARK)).otherwise(
+        F.regexp_replace(part, r"\r\n|\r", "\n")
     )
+    marked = F.array_join(F.transform(F.split(text, '"'), outside), '"')
+    several = F.contains(text, F.lit('"')) & ~F.contains(text, F.lit(_RECORD_MARK))
+    return F.when(several, F.split(marked, _RECORD_MARK)).otherwise(F.split(text, _LINE_BREAK))
 
 
-def payload_rows(payloads: DataFrame, charset: str, columns: Columns) -> DataFrame:
+def payload_rows(payloads: DataFrame, charset: str, columns: Columns, failure: str | None = None) -> DataFrame:
     """Rows of CSV payloads: every column of ``payloads`` but ``content``, ``row_no``, the texts.
 
     Decoding is strict; a header that is missing or given twice, or a line of the wrong width, is
-    an error.
+    an error, or a message in the column ``failure`` names.
     """
     keep = [c for c in payloads.columns if c != "content"]
-    with java_charsets(payloads.sparkSession):
-        decoded = payloads.select(*keep, F.split(F.decode("content", charset), _LINE_BREAK).alias("lines"))
+    with java_charsets(payloads.sparkSession, strict=failure is None):
+        decoded = payloads.select(*keep, records(F.decode("content", charset)).alias("lines"))
+    head = F.array_position(F.transform("lines", lambda line: line != ""), F.lit(True)).cast("int")
+    headed = decoded.withColumn("head", head).withColumn("header", F.get("lines", F.col("head") - 1))
     lines = (
-        decoded.withColumn("header", csv_fields(F.col("lines")[0]))
-        .select(*keep, _layout(F.col("header"), columns).alias("layout"), "lines")
+        _with_layout(headed, [*keep, "head", "lines"], columns)
         # the outer form: for the inner one Spark would infer a filter that decodes the payload again
-        .select(*keep, "layout", F.posexplode_outer("lines").alias("row_no", "line"))
-        .where("row_no > 0 AND line <> ''")
+        .select(*keep, "head", "layout", F.posexplode_outer("lines").alias("row_no", "line"))
+        .where("row_no >= head AND line <> ''")
     )
-    return _select_fields(lines, columns, [*keep, "row_no"])
+    return _select_fields(lines, columns, [*keep, "row_no"], failure)
 
 
 def _path_columns(df: DataFrame, path: Column, pattern: str) -> DataFrame:
@@ -89,12 +119,6 @@ def _path_columns(df: DataFrame, path: Column, pattern: str) -> DataFrame:
     return df.withColumns({"snapshot_date": day, "filename": name})
 
 
-def existing(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Those of the paths that exist, asked of their own file systems."""
-    conf, path = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return [p for p in paths if path(p).getFileSystem(conf).exists(path(p))]
-
-
 def file_payloads(
     spark: SparkSession, path: str | list[str], pattern: str = OBJECT_KEY, only: str | None = None
 ) -> DataFrame:
@@ -108,50 +132,70 @@ def file_payloads(
     )
 
 
-def split_rows(
-    spark: SparkSession,
-    path: str | list[str],
-    charset: str,
-    columns: Columns,
-    min_bytes: int = WHOLE_FILE_BYTES,
-    pattern: str = OBJECT_KEY,
-    only: str | None = None,
-) -> DataFrame:
-    """Rows of the files above ``min_bytes``, read as splittable lines.
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_lines(spark: SparkSession, path: str | list[str], only: str | None = None) -> DataFrame:
+    """``path, block_start, seq, raw`` of every line, files read once and cut anywhere.
 
-    The line feed and carriage return bytes never occur inside a Shift_JIS character, so files
-    can be cut at them before decoding. A file's header is the first line of its first block;
-    there is one per file, joined back by path.
+    The line feed, carriage return and quote bytes never occur inside a Shift_JIS character, so files
+    can be cut at them before decoding. ``seq`` grows within a block; written down, it stays what it is.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     if only:
         reader = reader.option("pathGlobFilter", only)
-    raw = (
-        reader.text(path)
-        .where((F.col("_metadata.file_size") > min_bytes) & (F.col("value") != ""))
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_block_start").alias("block_start"),
-            F.monotonically_increasing_id().alias("seq"),
-            F.col("value").cast("binary").alias("raw"),
-        )
-    )
-    with java_charsets(spark):
-        lines = raw.withColumn("line", F.decode("raw", charset)).drop("raw")
-    heads = (
-        lines.where("block_start = 0")
-        .groupBy("path")
-        .agg(F.min_by("line", "seq").alias("header"), F.min("seq").alias("header_seq"))
-        .withColumn("header", csv_fields(F.col("header")))
-    )
-    heads = _path_columns(heads, F.col("path"), pattern).select(
-        "path", "snapshot_date", "filename", "header_seq", _layout(F.col("header"), columns).alias("layout")
+    text = F.col("value")
+    # counted in bytes, as the text is not in UTF-8
+    unquoted = F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+    quotes = F.when(F.contains(text, F.lit('"')), F.octet_length(text) - unquoted).otherwise(0)
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("seq"),
+        text.cast("binary").alias("raw"),
+        (quotes % 2 == 1).alias("odd"),
     )
-    files = file_payloads(spark, path, pattern, only).where(F.col("length") > min_bytes)
-    body = lines.join(broadcast_if_small(heads, bounded_by=files), "path").where(
-        (F.col("block_start") > 0) | (F.col("seq") != F.col("header_seq"))
+    return _kept(lines, "lines")
+
+
+def joined_records(lines: DataFrame) -> DataFrame:
+    """Lines of files that hold quoted line breaks as records: lines between an odd quote and the next belong together.
+
+    The quotes before a line are those before it in its block and those of the blocks before, of which a file has few. A
+    record of more than ``RECORD_LINES`` lines stays in single lines, whose quotes do not close.
+    """
+    block = ["path", "block_start"]
+    odd = F.col("odd").cast("int")
+    before = Window.partitionBy(*block).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    within = lines.withColumn("inner", F.coalesce(F.sum(odd).over(before), F.lit(0)))
+    blocks = lines.groupBy(*block).agg(F.sum(odd).alias("quotes"))
+    earlier = Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("outer", F.coalesce(F.sum("quotes").over(earlier), F.lit(0))).drop("quotes")
+    marked = within.join(blocks, block).withColumn("starts", (F.col("inner") + F.col("outer")) % 2 == 0).drop("inner", "outer")
+    # a record goes by the block and number of its first line; a block may begin inside one of an earlier block
+    place = F.struct("block_start", "seq")
+    upto = Window.partitionBy(*block).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    own = F.max(F.when(F.col("starts"), F.col("seq"))).over(upto)
+    last = marked.where("starts").groupBy(*block).agg(F.max("seq").alias("seq")).select(*block, place.alias("last"))
+    carried = blocks.select(*block).join(last, block, "left").withColumn("carried", F.max("last").over(earlier)).drop("last")
+    numbered = marked.withColumn("own", own).join(carried, block)
+    first = F.when(F.col("own").isNotNull(), F.struct(F.col("block_start"), F.col("own").alias("seq"))).otherwise(F.col("carried"))
+    numbered = numbered.withColumn("record", first).drop("own", "carried")
+    sizes = numbered.groupBy("path", "record").agg(F.count(F.lit(1)).alias("size"))
+    sized = _kept(numbered.join(sizes, ["path", "record"]), "records")
+    parts = F.array_sort(F.collect_list(F.struct("block_start", "seq", "raw")))
+    text = lambda part: F.decode(part["raw"], "ISO-8859-1")  # noqa: E731  # bytes as they are
+    whole = (
+        sized.where(f"size > 1 AND size <= {RECORD_LINES}")
+        .groupBy("path", "record")
+        .agg(parts.alias("parts"))
+        .select("path", "record.*", F.encode(F.array_join(F.transform("parts", text), "\n"), "ISO-8859-1").alias("raw"))
     )
-    return _select_fields(body, columns, ["snapshot_date", "filename"])
+    single = sized.where(f"size = 1 OR size > {RECORD_LINES}")
+    return single.select("path", "block_start", "seq", "raw").unionByName(whole)
 
 
 def file_rows(
@@ -159,15 +203,24 @@ def file_rows(
     path: str | list[str],
     charset: str,
     columns: Columns,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
     pattern: str = OBJECT_KEY,
     only: str | None = None,
+    failure: str | None = None,
 ) -> DataFrame:
-    """Rows of the files below ``path``: small files whole, large files as splittable lines.
-
-    ``only`` is a glob of file names.
-    """
-    small = file_payloads(spark, path, pattern, only).where(F.col("length") <= whole_file_bytes)
-    small_rows = payload_rows(small.select("snapshot_date", "filename", "content"), charset, columns)
-    large_rows = split_rows(spark, path, charset, columns, whole_file_bytes, pattern, only)
-    return small_rows.drop("row_no").unionByName(large_rows)
+    """Rows of the files below ``path``, of any size; ``only`` is a glob of file names."""
+    lines = file_lines(spark, path, only)
+    broken = lines.where("odd").select("path").distinct()
+    if not broken.isEmpty():
+        paired = joined_records(lines.join(broadcast_if_small(broken), "path", "left_semi"))
+        lines = lines.join(broadcast_if_small(broken), "path", "left_anti").drop("odd").unionByName(paired)
+    lines = lines.where(F.octet_length("raw") > 0)
+    with java_charsets(spark, strict=failure is None):
+        lines = lines.select("path", "block_start", "seq", F.decode("raw", charset).alias("line"))
+    # numbers only are aggregated; a file's first line is then looked at
+    first = lines.where("block_start = 0").groupBy("path").agg(F.min("seq").alias("head"))
+    first = _kept(first, "heads")
+    heads = lines.where("block_start = 0").join(broadcast_if_small(first), "path").where("seq = head")
+    heads = _path_columns(heads, F.col("path"), pattern).withColumnRenamed("line", "header")
+    heads = _with_layout(heads, ["path", "snapshot_date", "filename", "head"], columns)
+    body = lines.join(broadcast_if_small(heads, bounded_by=first), "path").where("block_start > 0 OR seq <> head")
+    return _select_fields(body, columns, ["snapshot_date", "filename"], failure)

@@ -15,7 +15,7 @@ from stationday.sources.landing import day_folders, landing_rows, read_landing,
 from stationday.sources.published import read_published
 from stationday.sources.rawcsv import file_payloads
 
-DAY, NEXT = dt.date(2026, 9, 13), dt.date(2026, 9, 14)
+DAY, NEXT = dt.date(2025, 11, 2), dt.date(2025, 11, 3)
 STATIONS = {"20711": "47519", "53026": "47741", "99999": ""}
 MASTER = [["20711", "霧ヶ峰", "36", "12.6", "138", "9.0"], ["53026", "長浜②", "33", "22.8", "135", "30.0"]]
 
@@ -58,19 +58,19 @@ def test_build_publishes_one_row_per_station_and_day(spark, both):
     assert first["station_name"] == "霧ヶ峰" and first["latitude"] == pytest.approx(36.21)
     assert first["precipitation_mm"] == 20.0 and first["max_gust_direction"] == "北北西"
     assert first["tree_info"] == {
-        "value": 4,
-        "plants": [{"code": "ALDER", "value": 2}, {"code": "CYPRESS_PINE", "value": 4}],
+        "value": 3,
+        "plants": [{"code": "BIRCH", "value": 3}, {"code": "OAK", "value": 1}],
     }
     assert first["grass_info"] is None
     hour = read_published(spark, warehouse.conditions).where(F.col("date") == F.lit(DAY))
     assert hour.select(F.date_format("observed_at", "HH:mm")).first()[0] == "04:00"  # 13:00 in Japan
     assert read_landing(spark, warehouse.landing).count() == 12
-    assert {f.day for f in published_files(spark, warehouse).collect()} == {"2026-09-13", "2026-09-14"}
+    assert {f.day for f in published_files(spark, warehouse).collect()} == {"2025-11-02", "2025-11-03"}
 
 
 def test_build_writes_a_document_per_day(spark, both):
     warehouse, _ = both
-    (part,) = glob.glob(f"{warehouse.geojson}/date=2026-09-13/part-*.txt")
+    (part,) = glob.glob(f"{warehouse.geojson}/date=2025-11-02/part-*.txt")
     document = json.loads(open(part, encoding="utf-8").read())
     assert [f["properties"]["station_id"] for f in document["features"]] == ["20711", "53026"]
     latitude = published(spark, warehouse)[1]["latitude"]
@@ -84,9 +84,9 @@ def test_build_records_metrics(spark, both):
     assert {r.run_id for r in rows} == {report.run_id}
     assert metrics["cleaned.precipitation", "row_count"] == "3"
     assert metrics["cleaned.max_gust", "null_count"] == "0"
-    assert metrics["daily_weather", "observed_at"] == "2026-09-13T13:00:00+09:00"
+    assert metrics["daily_weather", "observed_at"] == "2025-11-02T13:00:00+09:00"
     assert metrics["daily_weather", "differs"] == "true"
-    assert metrics["pollen_cleaned", "observation_date"] == "2026-09-13"
+    assert metrics["pollen_cleaned", "observation_date"] == "2025-11-02"
     assert metrics["daily_weather_conditions", "column_count"] == str(len(CONDITIONS_SCHEMA))
     written = {name.split(".")[0] for name, metric in metrics if metric == "sha256"}
     assert written == {"daily_weather_conditions", "daily_weather_conditions_geojson"}
@@ -122,14 +122,14 @@ def test_rebuild_needs_no_incoming_files(spark, both, master):
 def test_missing_object_stops_the_build(spark, tmp_path, master, lacking):
     incoming = write_snapshot(str(tmp_path / "in"), DAY, STATIONS, skip=(lacking,))
     warehouse = Warehouse(str(tmp_path / "out"))
-    with pytest.raises(MissingRawObjects, match=f"20260913/{lacking}"):
+    with pytest.raises(MissingRawObjects, match=f"20251102/{lacking}"):
         build(spark, warehouse, incoming, master, [DAY])
     assert not glob.glob(f"{warehouse.conditions}*") and not glob.glob(f"{warehouse.cleaned}*")
 
 
 def test_failed_check_blocks_but_keeps_the_cleaned_table(spark, tmp_path, master):
     incoming = write_snapshot(str(tmp_path / "in"), DAY, STATIONS)
-    path = f"{incoming}/20260913/max_gust.csv"
+    path = f"{incoming}/20251102/max_gust.csv"
     text = open(path, "rb").read()
     with open(path, "ab") as file:
         file.write(text.split(b"\r\n")[1] + b"\r\n")
@@ -146,8 +146,8 @@ def test_failed_check_blocks_but_keeps_the_cleaned_table(spark, tmp_path, master
 def test_station_without_pollen_blocks_publishing(spark, tmp_path, master):
     incoming = write_snapshot(str(tmp_path / "in"), DAY, STATIONS)
     only_one = write_snapshot(str(tmp_path / "other"), DAY, {"20711": "47519"})
-    with open(f"{only_one}/20260913/pollen.json", "rb") as source, open(
-        f"{incoming}/20260913/pollen.json", "wb"
+    with open(f"{only_one}/20251102/pollen.json", "rb") as source, open(
+        f"{incoming}/20251102/pollen.json", "wb"
     ) as target:
         target.write(source.read())
     warehouse = Warehouse(str(tmp_path / "out"))
@@ -190,11 +190,11 @@ def test_a_lost_part_is_noticed(spark, tmp_path):
 
 
 def test_other_days_are_not_read(spark, tmp_path):
-    for name in ("20260913", "20260914"):
+    for name in ("20251102", "20251103"):
         (tmp_path / name).mkdir()
         (tmp_path / name / "pollen.json").write_bytes(b"{}")
-    folders = day_folders(spark, str(tmp_path), [dt.date(2026, 9, 13), dt.date(2026, 9, 20)])
-    assert folders == [f"{tmp_path}/20260913"]
-    assert [str(r["snapshot_date"]) for r in landing_rows(spark, folders).select("snapshot_date").collect()] == ["2026-09-13"]
+    folders = day_folders(spark, str(tmp_path), [dt.date(2025, 11, 2), dt.date(2025, 11, 20)])
+    assert folders == [f"{tmp_path}/20251102"]
+    assert [str(r["snapshot_date"]) for r in landing_rows(spark, folders).select("snapshot_date").collect()] == ["2025-11-02"]
     with pytest.raises(MissingRawObjects):
-        day_folders(spark, str(tmp_path), [dt.date(2026, 9, 20)])
+        day_folders(spark, str(tmp_path), [dt.date(2025, 11, 20)])

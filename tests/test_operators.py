@@ -8,7 +8,7 @@ from fixtures import envelope, result
 from stationday.operators import clean
 from stationday.operators.conditions import daily_weather_conditions, key_mismatches, require_matching
 from stationday.operators.joins import broadcast_if_small, duplicate_keys, keys_without_match
-from stationday.operators.merge import daily_weather, few_values, full_merge, measure_columns, wide_rows
+from stationday.operators.merge import daily_weather, extended_codes, full_merge, measure_columns, wide_rows
 from stationday.operators.quality import (
     assert_checks,
     expected_groups,
@@ -167,14 +167,26 @@ def test_merge_equals_a_chain_of_full_joins(spark):
     assert merged.exceptAll(joined).count() == 0 and merged.count() == joined.count()
 
 
-def test_merge_by_list_of_directions_is_the_same(spark):
-    table = long(spark, *((s, st, "x", 1.0) for s in ALL for st in "ABC")).withColumn(
-        "direction", F.when(F.col("source").isin("max_wind", "max_gust"), F.concat("station_id", F.lit("北")))
+def test_merge_by_codes_keeps_every_text(spark, tmp_path):
+    """More texts than any list would hold; the table of codes grows by what it lacks."""
+    stations = [f"{i:04}" for i in range(600)]
+    table = long(spark, *((s, st, "x", 1.0) for s in ("max_wind", "max_gust") for st in stations)).withColumn(
+        "direction", F.when(F.col("station_id") != "0007", F.concat("station_id", F.lit("北")))
     )
-    names = few_values(table, "direction")
-    assert names == ["A北", "B北", "C北"] and few_values(table, "direction", limit=2) is None
-    coded, plain = wide_rows(table, names), wide_rows(table)
-    assert coded.exceptAll(plain).count() == 0 and coded.where("max_gust_direction = 'B北'").count() == 1
+    path = str(tmp_path / "codes")
+    few = extended_codes(table.where("station_id < '0300'"), path)
+    assert few.count() == 299
+    codes = extended_codes(table, path)
+    assert codes.count() == 599 and extended_codes(table, path).count() == 599
+    merged = wide_rows(table, codes)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    rows = {r.station_id: (r.max_wind_direction, r.max_gust_direction) for r in merged.collect()}
+    assert rows == {st: (None, None) if st == "0007" else (f"{st}北",) * 2 for st in stations}
+    assert merged.exceptAll(wide_rows(table)).count() == 0
+    spark.createDataFrame([(codes.first()["code"], "another")], "code long, text string").write.mode("append").parquet(path)
+    with pytest.raises(DataQualityError, match="several texts"):
+        extended_codes(table, path)
 
 
 def test_rows_without_wmo_id_are_left_out_but_count_for_time_and_date(spark):

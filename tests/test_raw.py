@@ -55,18 +55,35 @@ def test_files_with_differing_headers_are_read_together(spark):
     assert [(r.station_id, r.value, r.quality) for r in found] == [("11001", 1.5, 8), ("22", 2.5, 4)]
 
 
-@pytest.mark.parametrize(
-    ("change", "message"),
-    [
-        (lambda t: t.replace("13日の値(mm)", "値"), r"Expected exactly one column matching .*値\\\(mm\\\), found \[\]"),
-        (lambda t: t.replace("都道府県", "12日の値(mm)"), "Expected exactly one column matching"),
-        (lambda t: t.replace("観測所番号", "番号"), "Expected exactly one column matching 観測所番号"),
-        (lambda t: t.replace(",8\r\n", ",8,9\r\n"), "Expected 11 fields, found 12"),
-        (lambda t: t.replace(",1.5,8\r\n", "\r\n"), "Expected 11 fields, found 9"),
-        (lambda t: t.replace("1.5", "many"), "Invalid double for precipitation.csv value: many"),
-        (lambda t: t.replace("2026,09", "2026,19"), "Invalid observation time: 2026 19 13"),
-    ],
-)
+BROKEN = [
+    (lambda t: t.replace("13日の値(mm)", "値"), r"Expected exactly one column matching .*値\\\(mm\\\), found \[\]"),
+    (lambda t: t.replace("都道府県", "12日の値(mm)"), "Expected exactly one column matching"),
+    (lambda t: t.replace("観測所番号", "番号"), "Expected exactly one column matching 観測所番号"),
+    (lambda t: t.replace(",8\r\n", ",8,9\r\n"), "Expected 11 fields, found 12"),
+    (lambda t: t.replace(",1.5,8\r\n", "\r\n"), "Expected 11 fields, found 9"),
+    (lambda t: t.replace("1.5", "many"), "Invalid double for precipitation.csv value: many"),
+    (lambda t: t.replace("2026,09", "2026,19"), "Invalid observation time: 2026 19 13"),
+]
+CHANGES = [
+    *(change for change, _ in BROKEN),
+    lambda t: t,
+    lambda t: "\r\n\r\n" + t,
+    lambda t: t.replace("\r\n", "\r\n\r\n"),
+    lambda t: t.replace("\r\n", "\r"),
+    lambda t: t.rstrip(),
+    lambda t: t.replace("県", '"県'),
+    lambda t: t.replace("県", '"県"x'),
+    lambda t: t.replace("県", '"a\nb"'),
+    lambda t: "",
+    lambda t: "\r\n",
+    lambda t: t.encode("shift_jis").replace(b"11001", b"11001\x81"),
+    lambda t: t.encode("shift_jis").replace(b"11001", "①".encode("cp932")),
+    lambda t: t.replace("2026,09,13,14", "2026,09,13,24"),
+    lambda t: t.replace("2026,09,13,14,00", "2026,09,13,24,10"),
+]
+
+
+@pytest.mark.parametrize(("change", "message"), BROKEN)
 def test_broken_files_are_errors(spark, change, message):
     text = csv_text("precipitation", rows_of("precipitation", ("1.5", "8")), 13)
     assert change(text) != text
@@ -102,25 +119,77 @@ def test_one_time_per_file_is_judged_before_rounding(spark):
         clean.require_one_time(table, ["snapshot_date", "source"])
 
 
-def test_large_files_are_split_and_give_the_same_rows(spark, tmp_path):
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 * 1024))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def both_readings(spark, root):
+    whole = clean.landed_measurement_rows(file_payloads(spark, root))
+    return clean.clean_measurements(whole), clean.clean_measurements(clean.measurement_file_rows(spark, root))
+
+
+def test_large_files_are_split_and_give_the_same_rows(spark, tmp_path, small_splits):
     root = str(tmp_path)
     for name in HEADERS:
         rows = [(f"{i:05d}", "", time_parts(DAY), measured(name, i / 10)) for i in range(4000)]
         write(f"{root}/20260913/{name}.csv", csv_text(name, rows, 13).encode("shift_jis"))
     write(f"{root}/20260913/notes.txt", b"not a raw object")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 * 1024))
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
-    try:
-        whole, split = (
-            clean.clean_measurements(clean.measurement_file_rows(spark, root, whole_file_bytes=limit))
-            for limit in (1 << 30, 0)
-        )
-        assert split.rdd.getNumPartitions() > 10
-        assert whole.count() == split.count() == 20_000
-        assert whole.exceptAll(split).count() == 0
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole, split = both_readings(spark, root)
+    assert split.rdd.getNumPartitions() > 10
+    assert whole.count() == split.count() == 20_000
+    assert whole.exceptAll(split).count() == 0
+
+
+def test_quoted_line_breaks_across_splits(spark, tmp_path, small_splits):
+    """Fields with line breaks, long enough that blocks of the file begin inside them."""
+    root = str(tmp_path)
+    place = '"' + "地\r\n\r\n点,\n" * 400 + 'x ""y"" z"'
+    rows = [(f"{i:05d}", "", time_parts(DAY), [f"{i}.5", "8"]) for i in range(300)]
+    text = csv_text("precipitation", rows, 13)
+    lines = text.split("\r\n")
+    for i in range(10, 290, 7):
+        lines[i] = lines[i].replace("地点", place, 1)
+    write(f"{root}/20260913/precipitation.csv", "\r\n".join(lines).encode("shift_jis"))
+    write(f"{root}/20260913/max_gust.csv", csv_text("max_gust", rows_of("max_gust", measured("max_gust", 1.0)), 13).encode("shift_jis"))
+    whole, split = both_readings(spark, root)
+    assert whole.where("source = 'precipitation'").count() == 300
+    assert whole.exceptAll(split).count() == 0 and split.exceptAll(whole).count() == 0
+
+
+def test_a_line_break_in_a_wanted_field_is_kept(spark, tmp_path):
+    root = str(tmp_path)
+    text = csv_text("max_wind", rows_of("max_wind", ("3.0", "8", '"北\r\n西"', "4", "1")), 13)
+    write(f"{root}/20260913/max_wind.csv", text.encode("shift_jis"))
+    assert [df.first()["direction"] for df in both_readings(spark, root)] == ["北\n西"] * 2
+
+
+@pytest.mark.parametrize("change", CHANGES, ids=range(len(CHANGES)))
+def test_both_readings_agree_on_broken_files(spark, tmp_path, change):
+    """The same rows or the same failures, as errors and as messages."""
+    root = str(tmp_path)
+    text = csv_text("precipitation", rows_of("precipitation", ("1.5", "8"), ("2.5", "4")), 13)
+    changed = change(text)
+    write(f"{root}/20260913/precipitation.csv", changed if isinstance(changed, bytes) else changed.encode("shift_jis"))
+
+    def outcome(rows):
+        cleaned = clean.clean_measurements(rows)
+        return sorted(map(repr, map(tuple, cleaned.select("station_id", "value", "failure").collect())))
+
+    whole = outcome(clean.landed_measurement_rows(file_payloads(spark, root), "failure"))
+    split = outcome(clean.measurement_file_rows(spark, root, failure="failure"))
+    assert whole == split
+    failing = any(not row.endswith("None)") for row in whole)
+    for strict in both_readings(spark, root):
+        if failing:
+            with pytest.raises(Exception):
+                strict.collect()
+        else:
+            assert strict.count() == len(whole)
 
 
 def test_long_table_is_the_inverse_of_cleaned_tables(spark):
