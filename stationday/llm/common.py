@@ -16,13 +16,26 @@ from stationday.session import work_folder
 SLICE_BYTES = 1 << 19
 
 
+#: Bytes of the batches that go to Python workers and back, so that neither side holds more at a time but for a longer row.
+BATCH_BYTES = 8 << 20
+_BATCH_LIMIT, _DEFAULT_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of a batch's bytes, unless it has one of its own."""
+    if spark.conf.get(_BATCH_LIMIT, _DEFAULT_LIMIT) == _DEFAULT_LIMIT:
+        spark.conf.set(_BATCH_LIMIT, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder of ``spark.checkpoint.dir`` and read back: lineage ends here."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = work_folder(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -224,15 +224,19 @@ def score(docs: DataFrame, model: Scorer) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: Scorer) -> DataFrame:
-    """``docs`` without the rows that the model rejects; all columns stay as they are."""
+    """``docs`` without the rows that the model rejects; all columns stay as they are.
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Only texts go to Python and only scores come back; rows are left out in the JVM.
+    """
+    if model.network is None:
+        return docs
+
+    @F.arrow_udf("double")
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = Words()
-        for part in text_slices(batches):
-            if model.network is None:
-                yield part
-            else:
-                good = model.network.score(features(part.column("text"), words)) >= 0.5
-                yield part.filter(pa.array(good))
+        for column in texts:
+            batch = pa.record_batch([column], names=["text"])
+            found = [model.network.score(features(part.column("text"), words)) for part in text_slices([batch])]
+            yield pa.array(np.concatenate([np.zeros(0), *found]))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return docs.where(scores("text") >= 0.5)
