@@ -303,4 +303,25 @@ failures(day, source, "check") AS (VALUES (4, 'precipitation', 'raw_files'), (7,
   (13, 'min_temperature', 'valid_daily_weather_key'), (16, NULL, 'pollen_payloads'), (19, NULL, 'valid_pollen_values'),
   (22, NULL, 'one_wmo_id'), (25, NULL, 'same_keys'))
 SELECT CAST(date AS VARCHAR) AS snapshot_date, source, "check" FROM days JOIN failures ON day(date) = failures.day""",
+    "refused_times": """WITH t AS (SELECT o_orderkey, strftime(o_orderdate, '%Y') AS y, strftime(o_orderdate, '%m') AS m,
+  o_orderkey % 33 + 1 AS d, o_orderkey % 27 AS h, o_orderkey % 63 AS mi, day(last_day(o_orderdate)) AS days FROM orders)
+SELECT o_orderkey, NULL::VARCHAR AS date, 'Invalid observation time: ' || concat_ws(' ', y, m, d, h, mi) AS failure FROM t
+WHERE d > days OR h > 24 OR mi > 59 OR (h = 24 AND mi > 0)""",
+    "refused_stations": f"""WITH {EV}, used AS (SELECT DISTINCT s_suppkey FROM ev JOIN supplier ON CAST(s_suppkey AS VARCHAR) = station_id)
+SELECT CAST(s_suppkey AS VARCHAR) AS station_id, CASE WHEN s_suppkey % 5 = 0 OR c_custkey IS NULL
+  THEN 'Missing station master rows for station ids' ELSE 'Invalid required station master fields for station ids' END AS reason
+FROM used LEFT JOIN customer ON c_custkey = s_suppkey WHERE s_suppkey % 5 = 0 OR s_suppkey % 7 = 0 OR c_custkey IS NULL""",
+    "missing_objects": f"""WITH {EV}, days AS (SELECT DISTINCT date FROM ev), wanted AS (
+  SELECT date, filename FROM days, (VALUES ('precipitation'), ('max_temperature'), ('min_temperature'), ('max_wind'), ('max_gust'), ('pollen')) f(filename)),
+has AS (SELECT DISTINCT date, {_case('event_type', SOURCES)} AS filename FROM ev)
+SELECT CAST(date AS VARCHAR) AS snapshot_date, CASE filename WHEN 'pollen' THEN 'pollen.json' ELSE filename || '.csv' END AS filename
+FROM wanted ANTI JOIN (SELECT * FROM has WHERE NOT (day(date) % 7 = 3 AND filename = 'max_gust')) h USING (date, filename)""",
+    "repeated_codes": f"""WITH {EV}
+SELECT DISTINCT CAST(date AS VARCHAR) AS snapshot_date, station_id FROM (
+  SELECT date, station_id FROM ev WHERE event_type IN ('click', 'view', 'purchase') GROUP BY date, station_id, event_type HAVING count(*) > 1)""",
+    "lenient_texts": f"""SELECT key, CASE WHEN regexp_matches(t, '{NUMBER}') THEN round(TRY_CAST(t AS DOUBLE), 6) END AS number FROM (
+  SELECT 'd' || doc_id AS key, text AS t FROM documents UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(o_totalprice AS VARCHAR) FROM orders
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders)""",
+    "union_undeclared": f"""WITH {EV} SELECT event_id, station_id, {_date()}, event_type, props, k,
+  CASE WHEN day(date) % 2 = 1 THEN value END AS value FROM ev""",
 }

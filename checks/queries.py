@@ -6,12 +6,15 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks.standins import (
+    TYPES,
     conditions,
     dated_events,
     located,
     long_events,
+    lookup,
     master,
     plain,
     pollen,
@@ -43,7 +46,7 @@ from stationday.operators.quality import (
     source_times,
 )
 from stationday.operators.responses import unexpected_dates
-from stationday.operators.stations import describe_stations, first_rows, stations_in_use
+from stationday.operators.stations import describe_stations, first_rows, refused_stations, stations_in_use
 from stationday.plans import queries as q
 from stationday.plans import sql
 from stationday.plans.build import Warehouse, rebuild
@@ -53,6 +56,7 @@ from stationday.schemas import (
     MEASUREMENTS,
     POLLEN_COLUMNS,
     POLLEN_ENVELOPE_DDL,
+    POLLEN_RESPONSE_DDL,
     STATION_MASTER_CHARSET,
     STATION_MASTER_HEADERS,
     TIME_HEADERS,
@@ -62,7 +66,7 @@ from stationday.sinks.documents import geojson_documents, geojson_features, read
 from stationday.sinks.envelope import land_pollen, pollen_envelopes
 from stationday.sinks.metrics import metric_rows
 from stationday.sinks.parquet import write_verified
-from stationday.sources.landing import payload_manifest, write_landing, landing_rows
+from stationday.sources.landing import expected_objects, landing_rows, missing_objects, payload_manifest, write_landing
 from stationday.sources.published import read_declared, read_published
 from stationday.sources.rawcsv import file_payloads
 from stationday.sources.rawjson import parse_object
@@ -159,6 +163,17 @@ def strip_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return padded.select("page_id", F.sha2(strip_text(F.col("t")).cast("binary"), 256).alias("html"), strip_text(F.col("blank")).alias("blank"))
 
 
+def lenient_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, prices and dates as numbers where they are numbers."""
+    docs = table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), "doc_id").alias("key"), F.col("text").alias("t"))
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("key"),
+        F.explode(F.array(F.col("o_totalprice").cast("string"), F.col("o_orderdate").cast("date").cast("string"))).alias("t"),
+    )
+    rows = docs.unionByName(orders)
+    return rows.select("key", F.round(lenient_double(F.col("t")), 6).alias("number"))
+
+
 def lenient_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.regexp_extract("url", r"/([^/?#]*)(?:[?#].*)?$", 1)
     return table(spark, sf_dir, "pages").select("page_id", last.alias("part"), lenient_double(last).alias("number"))
@@ -215,6 +230,21 @@ def hour24(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(timed.withColumn("observed_at", iso_timestamp(F.col("observed_at"))))
 
 
+def refused_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time texts out of range: hours up to 26, minutes up to 62, days up to 33."""
+    key = F.col("o_orderkey")
+    texts = {
+        "year": F.date_format("o_orderdate", "yyyy"),
+        "month": F.date_format("o_orderdate", "MM"),
+        "day": (key % 33 + 1).cast("string"),
+        "hour": (key % 27).cast("string"),
+        "minute": (key % 63).cast("string"),
+    }
+    parts = table(spark, sf_dir, "orders").select("o_orderkey", *(texts[p].alias(p) for p in PARTS))
+    timed = with_observation_time(parts, failure="failure")
+    return plain(timed.where("failure IS NOT NULL").select("o_orderkey", "date", "failure"))
+
+
 def snapshot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = table(spark, sf_dir, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).count()
     key = days.select("date", snapshot_key(F.col("date")).alias("key"), F.col("count").alias("n"))
@@ -306,9 +336,41 @@ def station_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.withColumns({c: F.round(c, 9) for c in ("latitude", "longitude")})
 
 
+def refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations whose master row lacks, or cannot be read: every fifth customer is left out, every seventh has a broken degree."""
+    rows = master(spark, sf_dir).where("place % 5 <> 0")
+    broken = F.when(F.col("place") % 7 == 0, F.lit("3x")).otherwise(F.col("latitude_degrees"))
+    in_use = stations_in_use(long_events(spark, sf_dir))
+    return refused_stations(describe_stations(in_use, rows.withColumn("latitude_degrees", broken)))
+
+
+def lacking_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw objects that each day needs and does not have: all pollen, and one measurement every seventh day."""
+    long = long_events(spark, sf_dir)
+    dates = [row[0] for row in long.select("date").distinct().collect()]  # the calendar
+    landed = long.where(~((F.dayofmonth("date") % 7 == 3) & (F.col("source") == "max_gust"))).select(
+        "snapshot_date", F.concat("source", F.lit(".csv")).alias("filename")
+    )
+    return plain(missing_objects(expected_objects(spark, dates), landed))
+
+
 # --- pollen
 
 
+def repeated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses whose list names a known type twice: one entry for each event of a station and day."""
+    entries = dated_events(spark, sf_dir).select(
+        F.col("date").alias("snapshot_date"), "station_id", lookup(TYPES, "event_type").alias("code"), F.lit(1).cast("long").alias("value")
+    )
+    info = F.struct(F.struct("value").alias("indexInfo"), "code")
+    ddl = POLLEN_RESPONSE_DDL
+    listed = entries.groupBy("snapshot_date", "station_id").agg(F.collect_list(info).alias("pollenTypeInfo"))
+    response = F.to_json(F.struct(F.array(F.struct("pollenTypeInfo")).alias("dailyInfo")))
+    results = listed.select("snapshot_date", "station_id", parse_object(response, ddl).alias("response"), F.lit(None).cast("string").alias("failure"))
+    failed = clean.clean_pollen_results(results).where(F.col("failure").startswith("Duplicate pollen type for station"))
+    return plain(failed.select("snapshot_date", "station_id"))
+
+
 def _groups(pollen_rows: DataFrame) -> DataFrame:
     return plain(pollen_rows.select("station_id", "date", *POLLEN_COLUMNS.values()))
 
@@ -383,6 +445,18 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_declared(spark, root, events.schema))
 
 
+def union_undeclared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days that differ in columns and number types, all kept: as the view over published days shows them."""
+    root = work_folder(spark, "undeclared")
+    events = dated_events(spark, sf_dir).drop("at")
+    odd = F.dayofmonth("date") % 2 == 1
+    declared = T.StructType([f for f in events.schema if f.name not in ("k", "value")])
+    events.where(~odd).drop("value").write.partitionBy("date").parquet(root)
+    narrow = events.where(odd).withColumn("k", F.col("k").cast("int"))
+    narrow.write.mode("append").partitionBy("date").parquet(root)
+    return plain(read_published(spark, root, declared, undeclared=True))
+
+
 def geojson_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feature's text, parsed again: geometry, and properties back to the published columns."""
     features = geojson_features(published_conditions(spark, sf_dir))
@@ -600,10 +674,12 @@ QUERIES = {
     "dms_to_decimal": dms_to_decimal,
     "strip_text": strip_titles,
     "lenient_cast": lenient_numbers,
+    "lenient_texts": lenient_texts,
     "strict_cast": strict_numbers,
     "csv_line_fields": csv_line_fields,
     "observed_hour": observed_hour,
     "hour24": hour24,
+    "refused_times": refused_times,
     "snapshot_keys": snapshot_keys,
     "json_values": json_values,
     "key_check": _group_check,
@@ -618,6 +694,9 @@ QUERIES = {
     "missing_master": missing_master,
     "first_duplicate": first_duplicate,
     "station_dimension": station_dimension,
+    "refused_stations": refused,
+    "missing_objects": lacking_objects,
+    "repeated_codes": repeated_codes,
     "nested_groups": nested_groups,
     "envelope_roundtrip": envelope_roundtrip,
     "envelope_counts": envelope_counts,
@@ -627,6 +706,7 @@ QUERIES = {
     "payload_manifest": payload_digests,
     "publish_roundtrip": publish_roundtrip,
     "union_by_name": union_by_name,
+    "union_undeclared": union_undeclared,
     "geojson_roundtrip": geojson_roundtrip,
     "geojson_documents": written_geojson,
     "raw_csv_roundtrip": _raw_roundtrip(whole=True),

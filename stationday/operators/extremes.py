@@ -16,7 +16,7 @@ from operator import and_, or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationday.operators.joins import per_date
+from stationday.operators.joins import per_group
 
 
 def extreme_rows(df: DataFrame, measure: str, largest: bool = True, by: str = "date") -> DataFrame:
@@ -24,7 +24,7 @@ def extreme_rows(df: DataFrame, measure: str, largest: bool = True, by: str = "d
     pick = F.max if largest else F.min
     bounds = df.groupBy(by).agg(pick(measure).alias("_bound")).where("_bound IS NOT NULL")
     bounds = bounds.withColumnRenamed(by, "_day")
-    joined = df.join(per_date(bounds), (F.col(by) == F.col("_day")) & (F.col(measure) == F.col("_bound")))
+    joined = df.join(per_group(bounds, by), (F.col(by) == F.col("_day")) & (F.col(measure) == F.col("_bound")))
     return joined.drop("_day", "_bound")
 
 
@@ -64,7 +64,7 @@ def named_extremes(
     nameless = reduce(and_, (F.col(f"_{s.name}").isNull() for s in specs))
     ties = (
         df.select(by, station, name, *dict.fromkeys(s.measure for s in specs))
-        .join(per_date(values), F.col(by) == F.col("_day"))
+        .join(per_group(values, by), F.col(by) == F.col("_day"))
         .where(reduce(or_, hits.values()) | nameless)
     )
     order = F.struct(F.col(station).isNull(), F.col(station))

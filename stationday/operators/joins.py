@@ -30,6 +30,11 @@ def per_date(by_date: DataFrame) -> DataFrame:
     return F.broadcast(by_date)
 
 
+def per_group(by_group: DataFrame, by: str) -> DataFrame:
+    """``per_date`` of a frame grouped by a date; grouped by another column its rows are counted first."""
+    return per_date(by_group) if by in ("date", "snapshot_date") else broadcast_if_small(by_group)
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count ``n``; combined map-side before the shuffle."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -42,11 +42,22 @@ def text_codes(df: DataFrame, column: str = "direction") -> DataFrame:
     return df.where(F.col(column).isNotNull()).select(text_code(F.col(column)).alias("code"), F.col(column).alias("text")).distinct()
 
 
-def written_codes(df: DataFrame, column: str = "direction") -> DataFrame:
-    """``text_codes`` as a table, whose size is known when it is joined."""
+def with_ordered_codes(df: DataFrame, column: str = "direction") -> tuple[DataFrame, DataFrame]:
+    """``df`` with the texts of a column as codes in the order of the texts, and ``code, text``.
+
+    Numbered by range partitions, so that the largest code stands for the largest text where a key is given twice. Written, so
+    that the numbers stay what they are and the size is known when the codes are joined.
+    """
     path = work_folder(df.sparkSession, "codes")
-    text_codes(df, column).write.parquet(path)
-    return _unambiguous(df.sparkSession.read.schema("code long, text string").parquet(path))
+    texts = df.where(F.col(column).isNotNull()).select(F.col(column).alias("text")).distinct()
+    texts.repartitionByRange("text").sortWithinPartitions("text").select(
+        F.monotonically_increasing_id().alias("code"), "text"
+    ).write.parquet(path)
+    codes = df.sparkSession.read.schema("code long, text string").parquet(path)
+    # rows without a text do not meet in a join
+    coded = df.where(F.col(column).isNotNull()).join(codes.withColumnRenamed("text", column), column).drop(column)
+    rest = df.where(F.col(column).isNull()).drop(column).withColumn("code", F.lit(None).cast("long"))
+    return coded.unionByName(rest), codes
 
 
 def extended_codes(cleaned: DataFrame, path: str, column: str = "direction") -> DataFrame:
@@ -76,15 +87,19 @@ def wide_rows(cleaned: DataFrame, codes: DataFrame | None = None, oldest: DataFr
     itself leaves those rows out.
 
     Spark aggregates text by sorting but numbers by hashing, which is about twice as fast here. So wind
-    directions are merged as codes (``codes``, by default those of ``cleaned``), and joined back to their texts afterwards.
+    directions are merged as codes: digests that the table ``codes`` knows, or, without it, numbers given here. They are joined
+    back to their texts afterwards.
     """
     keys = ["snapshot_date", "station_id", "wmo_station_id", "date"]
     if oldest is None:
         oldest = cleaned.groupBy("snapshot_date").agg(F.min("observed_at").alias("observed_at"))
     with_id = cleaned.where(F.col("wmo_station_id").isNotNull())
     if codes is None:
-        codes = written_codes(with_id)
-    wide = full_merge(with_id, keys, measure_columns({"direction": text_code(F.col("direction"))}))
+        with_id, codes = with_ordered_codes(with_id)
+        code = F.col("code")
+    else:
+        code = text_code(F.col("direction"))
+    wide = full_merge(with_id, keys, measure_columns({"direction": code}))
     for column in [c for c in wide.columns if c.endswith("_direction")]:
         texts = codes.select(F.col("code").alias(column), F.col("text").alias("_text"))
         wide = wide.join(texts, column, "left").drop(column).withColumnRenamed("_text", column)

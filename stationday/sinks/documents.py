@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stationday.errors import VerificationError
 from stationday.functions.time import ISO_TIMESTAMP
-from stationday.operators.joins import per_date
+from stationday.operators.joins import per_group
 from stationday.schemas import JAPAN_TIME
 from stationday.session import work_folder
 
@@ -50,7 +50,7 @@ def day_documents(items: DataFrame, day: str, order: str, text: Column, head: st
     document = F.expr(f"pmod(xxhash64({order}), _documents)").alias("document")
     features = F.sort_array(F.collect_list(F.struct(F.col(order).alias("key"), text.alias("text"))))
     gathered = (
-        items.join(per_date(sizes), F.col(day) == F.col("_day"))
+        items.join(per_group(sizes, day), F.col(day) == F.col("_day"))
         .groupBy(day, document)
         .agg(features.alias("features"))
     )

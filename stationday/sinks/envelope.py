@@ -47,8 +47,11 @@ def pollen_envelopes(responses: DataFrame, results_per_envelope: int = RESULTS_P
 def envelope_rows(envelopes: DataFrame, source_url: str | None, downloaded_at: dt.datetime) -> DataFrame:
     """Envelopes as rows of the landing table."""
     content = F.encode("payload", "UTF-8")
+    # an object's key is its own: further parts of a day carry their number
+    stem, suffix = POLLEN_FILE.rsplit(".", 1)
+    name = F.when(F.col("part") == 0, F.lit(POLLEN_FILE)).otherwise(F.concat(F.lit(f"{stem}-"), F.col("part"), F.lit(f".{suffix}")))
     rows = envelopes.select(
-        F.concat_ws("/", snapshot_key(F.col("snapshot_date")), F.lit(POLLEN_FILE)).alias("object_key"),
+        F.concat_ws("/", snapshot_key(F.col("snapshot_date")), name).alias("object_key"),
         F.lit(source_url).cast("string").alias("source_url"),
         F.lit("application/json").alias("content_type"),
         F.lit(downloaded_at).cast("timestamp").alias("downloaded_at"),
