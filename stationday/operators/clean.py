@@ -34,7 +34,7 @@ from stationday.schemas import (
     TIME_HEADERS,
     WMO_ID_HEADER,
 )
-from stationday.sources.rawcsv import file_rows, payload_rows
+from stationday.sources.rawcsv import file_rows, line_rows, payload_rows
 from stationday.sources.rawjson import pollen_results
 
 KEY = "snapshot_date"
@@ -68,6 +68,11 @@ def landed_measurement_rows(landed: DataFrame, failure: str | None = None) -> Da
     return payload_rows(payloads, MEASUREMENT_CHARSET, wanted_columns(), failure).drop("row_no")
 
 
+def chunked_measurement_rows(lines: DataFrame, failure: str | None = None) -> DataFrame:
+    """Text rows of the lines of large landed objects (``chunks.chunk_lines``)."""
+    return line_rows(lines, MEASUREMENT_CHARSET, wanted_columns(), failure=failure)
+
+
 def measurement_file_rows(
     spark: SparkSession, folders: str | list[str], names: str | None = FILE_NAMES, **options
 ) -> DataFrame:

@@ -38,12 +38,14 @@ from stationday.operators.stations import (
     stations_in_use,
     usable_stations,
 )
-from stationday.schemas import CLEANED_SCHEMAS, LANDING_SCHEMA, MEASUREMENTS, POLLEN_COLUMNS, POLLEN_FILE
+from stationday.schemas import CLEANED_SCHEMAS, LANDING_SCHEMA, MEASUREMENT_FILES, MEASUREMENTS, POLLEN_COLUMNS, POLLEN_FILE
 from stationday.session import work_folder
 from stationday.sinks.documents import geojson_documents, write_documents
 from stationday.sinks.metrics import append_metrics, metric_rows
 from stationday.sinks.parquet import write_verified, written_files
+from stationday.sources.chunks import chunk_lines, chunk_rows, read_manifest, write_chunks
 from stationday.sources.landing import (
+    MAX_PAYLOAD_BYTES,
     day_folders,
     expected_objects,
     landing_rows,
@@ -71,6 +73,11 @@ class Warehouse:
     def landing(self) -> str:
         return self._at("landing")
 
+    @property
+    def chunks(self) -> str:
+        """Objects that are too large for one value, and their manifest."""
+        return self._at("landing_chunks")
+
     @property
     def cleaned(self) -> str:
         return self._at("cleaned")
@@ -289,6 +296,10 @@ def _rebuild(
     nothing = BuildReport(run_id, [], 0, 0)
     landed = select_snapshots(_landed(spark, warehouse.landing), ledger.days)
     objects = landed.select("snapshot_date", "filename")
+    large = read_manifest(spark, warehouse.chunks)
+    if large is not None:
+        large = select_snapshots(large, ledger.days)
+        objects = objects.unionByName(large.select(*objects.columns))
     folders = day_folders(spark, measurements, ledger.days) if measurements else []
     if folders:
         objects = objects.unionByName(file_payloads(spark, folders).select(*objects.columns))
@@ -304,6 +315,9 @@ def _rebuild(
         rows = clean.measurement_file_rows(spark, [f for f in folders if f[-8:] in wanted], failure="failure")
     else:
         rows = clean.landed_measurement_rows(landed, "failure")
+        if large is not None and not large.isEmpty():
+            lines = chunk_lines(spark, warehouse.chunks, F.col("snapshot_date").isin(*ledger.good))
+            rows = rows.unionByName(clean.chunked_measurement_rows(lines, "failure"))
     cleaned, profiles = clean_measurements(rows, warehouse, ledger)
     if not ledger.good:
         return nothing
@@ -362,12 +376,17 @@ def build(
     station_master: str,
     dates: Iterable[dt.date] | None = None,
     downloaded_at: dt.datetime | None = None,
+    max_bytes: int = MAX_PAYLOAD_BYTES,
 ) -> BuildReport:
-    """Land the raw objects below ``incoming``, then ``rebuild``."""
+    """Land the raw objects below ``incoming``, those above ``max_bytes`` in chunks, then ``rebuild``."""
     days = sorted(set(dates)) if dates is not None else [today()]
-    # only the folders of these days are listed and read
-    rows = landing_rows(spark, day_folders(spark, incoming, days), downloaded_at)
-    write_landing(rows, warehouse.landing)
+    # only the folders of these days are read
+    folders = day_folders(spark, incoming, days)
+    write_landing(landing_rows(spark, folders, downloaded_at, max_bytes=max_bytes), warehouse.landing)
+    sizes = file_payloads(spark, folders).where((F.col("length") > max_bytes) & F.col("filename").isin(*MEASUREMENT_FILES))
+    large = [row.path for row in sizes.select("path").collect()]  # a few files a day
+    if large:
+        write_chunks(chunk_rows(spark, large, max_bytes), warehouse.chunks)
     return rebuild(spark, warehouse, station_master, days)
 
 

@@ -38,26 +38,31 @@ MAX_PAYLOAD_BYTES = 256 * 1024 * 1024
 
 
 def require_landable(files: DataFrame, max_bytes: int = MAX_PAYLOAD_BYTES) -> None:
-    """A landed object is one value, held by one task; larger files are to be read in place."""
-    large = [r.path for r in files.where(F.col("length") > max_bytes).select("path").limit(SHOWN_IDS).collect()]
+    """A landed pollen envelope is one value, held by one task; larger ones have to come in parts."""
+    too_large = files.where((F.col("length") > max_bytes) & (F.col("filename") == POLLEN_FILE))
+    large = [r.path for r in too_large.select("path").limit(SHOWN_IDS).collect()]
     if large:
         raise ValueError(
-            f"Objects above {max_bytes} bytes cannot be landed: {large!r}. Measurement files of any size are read "
-            "in place (rebuild with measurements=...); large pollen envelopes are landed in several parts."
+            f"Objects above {max_bytes} bytes cannot be landed: {large!r}. Large pollen envelopes are landed in several parts."
         )
 
 
 def landing_rows(
-    spark: SparkSession, incoming: str | list[str], downloaded_at: dt.datetime | None = None, pattern: str = OBJECT_KEY
+    spark: SparkSession,
+    incoming: str | list[str],
+    downloaded_at: dt.datetime | None = None,
+    pattern: str = OBJECT_KEY,
+    max_bytes: int = MAX_PAYLOAD_BYTES,
 ) -> DataFrame:
     """The raw objects below ``incoming`` (``YYYYMMDD/filename``, or such folders) as rows of the landing table.
 
-    Other files are left alone.
+    Other files are left alone, and measurement files above ``max_bytes``, which ``chunks.chunk_rows`` takes.
     """
     files = file_payloads(spark, incoming, pattern).where(
         F.col("filename").isin(*RAW_FILENAMES) & F.col("snapshot_date").isNotNull()
     )
     require_landable(files)
+    files = files.where((F.col("filename") == POLLEN_FILE) | (F.col("length") <= max_bytes))
     urls = F.create_map(*(F.lit(x) for pair in SOURCE_URLS.items() for x in pair))
     is_pollen = F.col("filename") == POLLEN_FILE
     stamp = F.col("modificationTime") if downloaded_at is None else F.lit(downloaded_at)

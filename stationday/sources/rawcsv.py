@@ -138,6 +138,13 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def odd_quotes(text: Column) -> Column:
+    """Whether a line has an odd number of quotes; counted in bytes, as the text may not be in UTF-8."""
+    unquoted = F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
+    quotes = F.when(F.contains(text, F.lit('"')), F.octet_length(text) - unquoted).otherwise(0)
+    return quotes % 2 == 1
+
+
 def file_lines(spark: SparkSession, path: str | list[str], only: str | None = None) -> DataFrame:
     """``path, block_start, seq, raw`` of every line, files read once and cut anywhere.
 
@@ -148,15 +155,12 @@ def file_lines(spark: SparkSession, path: str | list[str], only: str | None = No
     if only:
         reader = reader.option("pathGlobFilter", only)
     text = F.col("value")
-    # counted in bytes, as the text is not in UTF-8
-    unquoted = F.octet_length(F.replace(text, F.lit('"'), F.lit("")))
-    quotes = F.when(F.contains(text, F.lit('"')), F.octet_length(text) - unquoted).otherwise(0)
     lines = reader.text(path).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("seq"),
         text.cast("binary").alias("raw"),
-        (quotes % 2 == 1).alias("odd"),
+        odd_quotes(text).alias("odd"),
     )
     return _kept(lines, "lines")
 
@@ -208,7 +212,14 @@ def file_rows(
     failure: str | None = None,
 ) -> DataFrame:
     """Rows of the files below ``path``, of any size; ``only`` is a glob of file names."""
-    lines = file_lines(spark, path, only)
+    return line_rows(file_lines(spark, path, only), charset, columns, pattern, failure)
+
+
+def line_rows(
+    lines: DataFrame, charset: str, columns: Columns, pattern: str = OBJECT_KEY, failure: str | None = None
+) -> DataFrame:
+    """Rows of ``file_lines``, of files or of landed chunks."""
+    spark = lines.sparkSession
     broken = lines.where("odd").select("path").distinct()
     if not broken.isEmpty():
         paired = joined_records(lines.join(broadcast_if_small(broken), "path", "left_semi"))

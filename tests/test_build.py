@@ -11,6 +11,7 @@ from stationday.errors import DataQualityError, MissingRawObjects, VerificationE
 from stationday.operators.joins import raise_if_any
 from stationday.plans.build import Warehouse, build, published_files, rebuild
 from stationday.schemas import CONDITIONS_SCHEMA, LANDING_SCHEMA
+from stationday.sources.chunks import chunk_lines, chunk_rows, verify_chunks, write_chunks
 from stationday.sources.landing import day_folders, landing_rows, read_landing, require_landable, write_landing
 from stationday.sources.published import read_published
 from stationday.sources.rawcsv import file_payloads
@@ -156,13 +157,52 @@ def test_station_without_pollen_blocks_publishing(spark, tmp_path, master):
     assert not glob.glob(f"{warehouse.conditions}*")
 
 
-def test_large_objects_are_not_landed(spark, incoming):
+def test_large_pollen_envelopes_are_not_landed(spark, incoming):
     files = file_payloads(spark, incoming)
     require_landable(files)
-    with pytest.raises(ValueError, match="cannot be landed.*measurements="):
+    with pytest.raises(ValueError, match="cannot be landed.*pollen"):
         require_landable(files, max_bytes=10)
 
 
+@pytest.mark.parametrize("end", [b"", b"\n", b"\r\n", b"\r\n\r\n"])
+def test_chunks_keep_every_byte(spark, tmp_path, end):
+    folder = tmp_path / "in" / "20251102"
+    folder.mkdir(parents=True)
+    content = b"\r\n".join(b"%d,\x81\x41,\"a\nb\"" % i + b"x" * (i % 90) for i in range(3000)) + end
+    (folder / "max_wind.csv").write_bytes(content)
+    (folder / "max_gust.csv").write_bytes(b"small")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = chunk_rows(spark, [str(folder)], 100, chunk_bytes=5000)
+        path = str(tmp_path / "chunks")
+        sent = write_chunks(rows, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.object_key, r.size) for r in sent] == [("20251102/max_wind.csv", len(content))] and sent[0].chunks > 10
+    stored = spark.read.parquet(f"{path}/chunks").orderBy("offset").collect()
+    assert b"".join(bytes(r["content"]) for r in stored) == content
+    lines = [bytes(r.raw) for r in chunk_lines(spark, path, F.lit(True)).orderBy("block_start", "seq").collect()]
+    assert [x for x in lines if x] == [x for x in content.replace(b"\r", b"\n").split(b"\n") if x]
+
+    # a chunk that is lost, and one that is changed
+    whole = spark.createDataFrame(stored, spark.read.parquet(f"{path}/chunks").schema)
+    keep = whole.columns
+    for spoil in (whole.where(f"offset <> {stored[3].offset}"), whole.withColumn("content", F.expr(f"IF(offset = {stored[2].offset}, X'00', content)"))):
+        spoil.select(*keep).write.mode("overwrite").partitionBy("snapshot_date", "filename").parquet(f"{path}/chunks")
+        with pytest.raises(VerificationError, match="20251102/max_wind.csv"):
+            verify_chunks(spark, path)
+
+
+def test_a_build_with_objects_in_chunks_is_the_same(spark, tmp_path, both, incoming, master):
+    warehouse = Warehouse(str(tmp_path / "out"))
+    build(spark, warehouse, incoming, master, [DAY], max_bytes=250)
+    assert published(spark, warehouse) == published(spark, both[0])[:2]
+    assert spark.read.parquet(f"{warehouse.chunks}/manifest").count() == 5
+    assert read_landing(spark, warehouse.landing).count() == 1
+
+
 def test_duplicates_and_failures_are_reported_whole(spark):
     ids = [f"{i:03d}" for i in range(60)]
     rows = spark.createDataFrame([(i,) for i in ids], "station_id string")
