@@ -192,7 +192,7 @@ def _placed(df: DataFrame, graph: Graph, place, kind: str) -> DataFrame:
 def search(vectors: DataFrame, every: int = 50, k: int = 5, probes: int = PROBES, ratio: float = RATIO) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id ``every`` divides, its ``k`` nearest found."""
     spark = vectors.sparkSession
-    rows = stage(usable(vectors), "vectors")
+    rows = stage(usable(vectors).distinct(), "vectors")  # rows that repeat count once
     # of equal vectors only the k + 1 smallest ids can be among k nearest; Spark keeps so many a task before the shuffle
     order = Window.partitionBy("v").orderBy("vec_id")
     smallest = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
