@@ -79,8 +79,9 @@ SENTENCE_END = r"[.!?;:]+([\x20\x09-\x0D]+|\z)|[\x0A-\x0D]+"
 NOISE = r"[\x02-\x2F\x3A-\x60\x7B-\x7F]+"
 END = "\x01"
 #: Line ends with the marks that open the next line, marks that end a sentence, and noise, where line ends are kept apart.
-LINE_END = r"[\x0A-\x0D][\x09-\x0D\x20]*(?:[.!?;:]+(?:[\x09-\x0D\x20]+|\z))*"
-MARK_END = r"[.!?;:]+([\x20\x09-\x0D\x02]+|\z)"
+#: None of them steps back, so a page of dots costs neither stack nor time in the square of its length.
+LINE_END = r"[\x0A-\x0D][\x09-\x0D\x20]*+(?:[.!?;:]++(?:[\x09-\x0D\x20]++|\z))*+"
+MARK_END = r"(?<![.!?;:])[.!?;:]++([\x20\x09-\x0D\x02]++|\z)"
 LINE_NOISE = r"[\x03-\x2F\x3A-\x60\x7B-\x7F]+"
 LINE, KNOWN = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
