@@ -219,13 +219,23 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS station_id, {DEGREES} FROM customer)"
     "snapshot_keys": """SELECT CAST(d AS VARCHAR) AS date, strftime(d, '%Y%m%d') AS key, count(*) AS n,
   CAST(d AS VARCHAR) AS back FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY d""",
     "json_values": f"WITH {EV} SELECT event_id, k, CAST(k BETWEEN 0 AND 5 AS INTEGER) AS in_range FROM ev",
-    "key_check": f"""WITH {LONG}, keyed AS (
-  SELECT date, source, station_id, count(*) AS n FROM lng GROUP BY 1, 2, 3),
-dup AS (SELECT date, source, count(*) FILTER (WHERE n > 1) AS duplicates FROM keyed GROUP BY 1, 2),
-cnt AS (SELECT date, source, count(*) AS n, count(DISTINCT observed_at) AS hours FROM lng GROUP BY 1, 2)
-SELECT CAST(date AS VARCHAR) AS snapshot_date, source, CAST(0 AS BIGINT) AS null_key_row_count,
+    "key_check": f"""WITH {LONG}, part AS (SELECT * REPLACE (CASE WHEN k % 31 <> 0 THEN station_id END AS station_id) FROM lng), keyed AS (
+  SELECT date, source, station_id, count(*) AS n FROM part GROUP BY 1, 2, 3),
+dup AS (SELECT date, source, count(*) FILTER (WHERE n > 1) AS duplicates, CAST(coalesce(sum(n) FILTER (WHERE station_id IS NULL), 0) AS BIGINT) AS nulls
+  FROM keyed GROUP BY 1, 2),
+cnt AS (SELECT date, source, count(*) AS n, count(DISTINCT observed_at) AS hours FROM part GROUP BY 1, 2)
+SELECT CAST(date AS VARCHAR) AS snapshot_date, source, nulls AS null_key_row_count,
   duplicates AS duplicate_key_count, CAST(1 AS BIGINT) AS date_count, hours AS observed_at_count, n AS row_count,
-  CAST(duplicates = 0 AND hours = 1 AS INTEGER) AS passed
+  CAST(nulls = 0 AND duplicates = 0 AND hours = 1 AS INTEGER) AS passed
+FROM dup JOIN cnt USING (date, source)""",
+    "source_profile": f"""WITH {LONG}, part AS (SELECT * REPLACE (CASE WHEN k % 31 <> 0 THEN station_id END AS station_id) FROM lng), keyed AS (
+  SELECT date, source, station_id, count(*) AS n FROM part GROUP BY 1, 2, 3),
+dup AS (SELECT date, source, count(*) FILTER (WHERE n > 1) AS duplicate_key_count,
+  CAST(coalesce(sum(n) FILTER (WHERE station_id IS NULL), 0) AS BIGINT) AS null_key_row_count FROM keyed GROUP BY 1, 2),
+cnt AS (SELECT date, source, count(*) AS row_count, count(*) FILTER (WHERE direction IS NULL) AS null_count, min(observed_at) AS a, max(observed_at) AS z,
+  CAST(count(DISTINCT strftime(ts, '%Y %m %d %H %M')) > 1 AS INTEGER) AS several_times FROM part GROUP BY 1, 2)
+SELECT CAST(date AS VARCHAR) AS snapshot_date, source, null_key_row_count, duplicate_key_count, row_count, null_count,
+  {_ts('a', 'first_at')}, {_ts('z', 'last_at')}, CAST(date AS VARCHAR) AS first_date, CAST(date AS VARCHAR) AS last_date, several_times
 FROM dup JOIN cnt USING (date, source)""",
     "duplicate_keys": f"""WITH {EV} SELECT station_id, {_date()}, n
 FROM (SELECT station_id, date, count(*) AS n FROM ev GROUP BY 1, 2) WHERE n > 1""",

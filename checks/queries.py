@@ -43,6 +43,7 @@ from stationday.operators.quality import (
     key_check,
     null_counts,
     pollen_value_check,
+    profile,
     source_times,
 )
 from stationday.operators.responses import unexpected_dates
@@ -258,12 +259,25 @@ def json_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- checks
 
 
+def _with_lacking_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events, some of them without a station."""
+    return long_events(spark, sf_dir).withColumn("station_id", F.when(F.col("quality") % 31 != 0, F.col("station_id")))
+
+
 def _group_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = key_check(long_events(spark, sf_dir), ["snapshot_date", "source"])
+    result = key_check(_with_lacking_keys(spark, sf_dir), ["snapshot_date", "source"])
     names = ["null_key_row_count", "duplicate_key_count", "date_count", "observed_at_count", "row_count"]
     return plain(result.select("snapshot_date", "source", *names, F.col("passed").cast("int").alias("passed")))
 
 
+def source_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What one scan tells of each source and day."""
+    found = profile(_with_lacking_keys(spark, sf_dir), ["snapshot_date", "source"], "direction")
+    names = ["null_key_row_count", "duplicate_key_count", "row_count", "null_count", "first_at", "last_at", "first_date", "last_date"]
+    mixed = (F.col("first_text") != F.col("last_text")).cast("int").alias("several_times")
+    return plain(found.select("snapshot_date", "source", *names, mixed))
+
+
 def duplicate_event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(duplicate_keys(long_events(spark, sf_dir), ["station_id", "date"]))
 
@@ -683,6 +697,7 @@ QUERIES = {
     "snapshot_keys": snapshot_keys,
     "json_values": json_values,
     "key_check": _group_check,
+    "source_profile": source_profile,
     "duplicate_keys": duplicate_event_keys,
     "conflicting_ids": conflicting_wmo_ids,
     "date_conflicts": shared_dates,
