@@ -8,7 +8,8 @@ covers enough of a passage can do without them, however common its words are. A
 passage, or covers less but holds the passage's answer (the item's ``answer`` if that column exists, else its last words).
 
 Defined results: null and empty texts are clean; items without words match nothing. Documents that repeat
-get equal results; items that repeat are all named. Extra columns are ignored. An empty benchmark
+get equal results; items that repeat are all named, those
+without an id first and once. Extra columns are ignored. An empty benchmark
 leaves every document clean; an empty table gives an empty result. Texts are read whole.
 """
 
@@ -22,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stationday.llm.common import Words, stage, text_slices
 from stationday.llm.neardup import only
@@ -370,6 +372,7 @@ def search(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame
     space = latent_space(parts, weights, used, rank)
     passes = -(-parts.count() // PASSAGES_AT_ONCE) or 1
     kind = dict(benchmark.dtypes)["item_id"]
+    listed = pa.list_(to_arrow_type(benchmark.schema["item_id"].dataType))
     results = None
     for k in range(passes):
         rows = parts.where(F.pmod(F.xxhash64("item_id", "terms"), F.lit(passes)) == k).orderBy("item_id", "terms").collect()
@@ -386,13 +389,13 @@ def search(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame
                     yield pa.record_batch(
                         [
                             part.column("doc_id"),
-                            pa.array([sorted(f) for f in found], pa.list_(pa.int64() if kind == "bigint" else pa.string())),
+                            pa.array([sorted(f, key=lambda i: (i is not None, i)) for f in found], listed),
                             pa.array([max(f.values(), default=0.0) for f in found], pa.float64()),
                         ],
                         names=["doc_id", "items", "covered"],
                 )
 
-        found = terms.mapInArrow(searched, f"doc_id long, items array<{kind if kind == 'bigint' else 'string'}>, covered double")
+        found = terms.mapInArrow(searched, f"doc_id long, items array<{kind}>, covered double")
         results = found if results is None else results.unionByName(found)
     if passes > 1:
         results = results.groupBy("doc_id").agg(
