@@ -15,8 +15,11 @@ import base64
 import bisect
 import json
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -31,16 +34,36 @@ LENGTH = 1024
 OPEN, FAN_IN = 256, 32
 #: Texts between spaces whose ids a worker remembers.
 CACHE = 400_000
+#: A space before white space or the end.
+NO_BOUNDARY = re.compile(r" (?:\s|\Z)")
+#: Marks that end a word, none of which begins a contraction.
+MARKS = ".,;:!?)"
+LITTLE = sys.byteorder == "little" and array("I").itemsize == 4
 END_ID = (0).to_bytes(4, "little")
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, window long, offset long, left boolean"
 
 
+class _Known(dict):
+    """Ids of texts that follow a space; a text that is not known yet is encoded once and remembered."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encoder.ids_after_space(chunk)
+        if len(chunk) <= 40:
+            if len(self) >= CACHE:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
 class Encoder:
     """Ids of a byte-level BPE vocabulary as little-endian 32-bit bytes, equal to those of the ``tokenizers`` library.
 
     A piece boundary of this vocabulary's pattern lies before each space that follows no white space and
-    precedes none. Texts between such spaces repeat, so their ids are remembered. ``added`` tokens are cut out
-    of the text before and get their own ids.
+    precedes none. Texts between such spaces repeat, so their ids are remembered. Letters after a space are one piece, and so are
+    marks after letters; these need no pattern. ``added`` tokens are cut out of the text before and get their own ids.
     """
 
     def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
@@ -49,20 +72,31 @@ class Encoder:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bpe = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self)
+        self.marks: dict[str, bytes] = {}
         self.added = {token: i.to_bytes(4, "little") for token, i in (added or {}).items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def _ids(self, text: str) -> bytes:
         return self.bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
-    def _learned(self, chunk: str) -> bytes:
-        ids = self._ids(" " + chunk)
-        if len(chunk) <= 40:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[chunk] = ids
-        return ids
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.bpe._encode_single_piece(piece)).tobytes() if LITTLE else self._ids(piece)
+
+    def ids_after_space(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._piece(" " + chunk)
+        word = chunk.rstrip(MARKS)
+        if word.isalpha():
+            marks = chunk[len(word) :]
+            if marks not in self.marks:
+                if len(marks) > 40:
+                    return self._ids(" " + chunk)
+                if len(self.marks) >= CACHE:
+                    self.marks.clear()
+                self.marks[marks] = self._piece(marks)
+            return self.known[word] + self.marks[marks]
+        return self._ids(" " + chunk)
 
     def __call__(self, text: str) -> bytes:
         if not any(token in text for token in self.added):
@@ -71,20 +105,21 @@ class Encoder:
 
     def _plain(self, text: str) -> bytes:
         chunks = text.split(" ")
-        if "" in chunks[1:] or any(c[0].isspace() for c in chunks[1:]):
+        if NO_BOUNDARY.search(text):
             # cut only before a text that follows a space and no other white space
             cuts = [0]
             cuts += [i for i in range(1, len(chunks)) if chunks[i] and not chunks[i][0].isspace() and (chunks[i - 1] or i == 1)]
             chunks = [" ".join(chunks[i:j]) for i, j in zip(cuts, [*cuts[1:], len(chunks)])]
-        get = self.known.get
-        out = [get(c) for c in chunks[1:]]
-        if None in out:
-            out = [get(c) or self._learned(c) for c in chunks[1:]]
-        return (self._ids(chunks[0]) if chunks[0] else b"") + b"".join(out)
+        first = chunks.pop(0)
+        return (self._ids(first) if first else b"") + b"".join(map(self.known.__getitem__, chunks))
 
 
+@lru_cache(maxsize=2)
 def public_encoder(ranks: str = "byte_bpe_50k.tiktoken") -> Encoder:
-    """The encoder of a vocabulary file of ``public_tokenizers``, with the added tokens of its JSON form."""
+    """The encoder of a vocabulary file of ``public_tokenizers``, with the added tokens of its JSON form.
+
+    A worker process keeps it, and the ids it remembers, for all its tasks.
+    """
     import public_tokenizers
 
     with open(public_tokenizers.path(ranks.removesuffix(".tiktoken") + ".json"), encoding="utf-8") as file:
