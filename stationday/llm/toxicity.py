@@ -157,7 +157,9 @@ class Lexicon:
             try:
                 hit = known[w]
             except KeyError:
-                hit = known[w] = automaton.match(w) if len(w) <= 60 else None
+                hit = automaton.match(w)  # it stops where no term is left within the allowed edits
+                if len(w) <= 60:  # longer ones are not worth remembering
+                    known[w] = hit
             if hit is not None:
                 found.append((i, *hit))
         return found
