@@ -1,7 +1,9 @@
 """Nearest stations of many points against a comparison of all with all."""
 
 import datetime as dt
+import glob
 import math
+import os
 import random
 
 import pytest
@@ -81,3 +83,19 @@ def test_no_join_compares_all_with_all(spark):
     rows = nearest_to_points(stations, points)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_points_that_lie_together_share_the_search(spark):
+    rng = random.Random(2)
+    stations = [(DAY, f"s{i:04}", rng.uniform(-90, 90), rng.uniform(-180, 180), "x") for i in range(2000)]
+    stations += [(DAY, f"c{i:04}", 35 + rng.uniform(0, 0.01), 139 + rng.uniform(0, 0.01), "x") for i in range(500)]
+    points = [(i, DAY, 48 + rng.uniform(0, 0.1), 11 + rng.uniform(0, 0.1)) for i in range(3000)]
+    points += [(3000 + i, DAY, 35.005 + i / 100, 139.005) for i in range(50)]
+    rows = nearest_to_points(spark.createDataFrame(stations, STATIONS), spark.createDataFrame(points, POINTS))
+    assert "Window" not in rows._jdf.queryExecution().executedPlan().toString()
+    some = [p for p in points if p[0] % 40 == 0 or p[0] >= 3000]
+    got = {r["point_id"]: (r["date"], r["station_id"], round(r["distance_km"], 6)) for r in rows.collect()}
+    assert len(got) == len(points)
+    assert [(p[0], *got[p[0]]) for p in some] == brute(stations, some)
+    folders = sorted(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/blocks-*"), key=os.path.getmtime)
+    assert spark.read.parquet(folders[-1]).count() < 100
