@@ -7,7 +7,7 @@ WMO id.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationday.functions.geo import decimal_degrees
@@ -119,38 +119,45 @@ def responses(spark: SparkSession, sf_dir: str, index_values: int = 7) -> DataFr
     Seven index values are one more than the range allows.
 
     A code has one type and one value (the largest) per station and day, so the lists are bounded
-    by the code lists, whatever the number of events.
+    by the code lists, whatever the number of events. So each code is a column of one aggregate of numbers,
+    which is combined map-side; lists and texts are made of its rows after the join.
     """
     events = dated_events(spark, sf_dir)
     index = (F.floor("value") % index_values).cast("long")
     code = F.array(*(F.lit(c) for c in CODES))[(F.col("k") % len(CODES)).cast("int")]
-    entries = events.select(
-        "station_id",
-        "date",
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("is_plant"), lookup(TYPES, "event_type").alias("code"), index.alias("value")),
-                F.struct(F.lit(1).alias("is_plant"), code.alias("code"), index.alias("value")),
-            )
-        ).alias("e"),
-    ).select("station_id", "date", "e.*")
-    single = entries.groupBy("station_id", "date", "is_plant", "code").agg(F.max("value").alias("value"))
-    info = F.struct(F.col("value")).alias("indexInfo")
-    plant_type = F.coalesce(lookup(PLANT_TYPES, "code"), F.lit("TREE"))
-    by_day = single.groupBy("station_id", "date").agg(
-        F.collect_list(F.when(F.col("is_plant") == 0, F.struct("code", info))).alias("pollenTypeInfo"),
-        F.collect_list(
-            F.when(
-                F.col("is_plant") == 1,
-                F.struct("code", info, F.struct(plant_type.alias("type")).alias("plantDescription")),
+    entries = events.select("station_id", "date", lookup(TYPES, "event_type").alias("type"), code.alias("plant"), index.alias("value"))
+    # below every remainder: the code occurs, but never with a value
+    none = F.lit(-index_values).cast("long")
+    given = F.coalesce("value", none)
+    columns = {
+        f"{kind}_{i}": (c, F.col(kind).isNull() if c is None else F.col(kind) == c)
+        for kind, codes in (("type", TYPES.values()), ("plant", CODES))
+        for i, c in enumerate((*dict.fromkeys(codes), None))
+    }
+    by_day = entries.groupBy("station_id", "date").agg(*(F.max(F.when(own, given)).alias(name) for name, (_, own) in columns.items()))
+
+    def listed(kind: str, *described) -> Column:
+        """The codes that occur, each with its value."""
+        items = {
+            name: F.struct(
+                F.lit(c).cast("string").alias("code"),
+                F.struct(F.nullif(name, none).alias("value")).alias("indexInfo"),
+                *(describe(c) for describe in described),
             )
-        ).alias("plantInfo"),
-    )
+            for name, (c, _) in columns.items()
+            if name.startswith(kind)
+        }
+        # lists of one put together: a filter over all codes would be interpreted
+        return F.concat(*(F.when(F.col(name).isNotNull(), F.array(item)).otherwise(F.array()) for name, item in items.items()))
+
+    def plant_description(c: str | None) -> Column:
+        return F.struct(F.lit(PLANT_TYPES.get(c, "TREE")).alias("type")).alias("plantDescription")
+
     day = F.struct(
         F.struct(F.year("date").alias("year"), F.month("date").alias("month"), F.dayofmonth("date").alias("day"))
         .alias("date"),
-        "pollenTypeInfo",
-        "plantInfo",
+        listed("type").alias("pollenTypeInfo"),
+        listed("plant", plant_description).alias("plantInfo"),
     )
     located_rows = located(master(spark, sf_dir)).select("station_id", "latitude", "longitude")
     return by_day.join(located_rows, "station_id", "left").select(

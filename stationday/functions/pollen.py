@@ -34,7 +34,8 @@ def single_day(response: Column, station_id: Column) -> Column:
     return checked_day(response, station_id).or_raise()
 
 
-def _unique_codes(items: Column, what: str, station_id: Column) -> Checked:
+def unique_codes(items: Column, what: str, station_id: Column) -> Checked:
+    """A list of entries; a code given twice is a failure. ``items`` is read several times, so it should be a column of its own."""
     codes = F.transform(items, lambda item: item["code"])
     message = F.concat(
         F.lit(f"Duplicate {what} for station "),
@@ -42,35 +43,34 @@ def _unique_codes(items: Column, what: str, station_id: Column) -> Checked:
         F.lit(": "),
         F.array_join(codes, ", "),
     )
-    return Checked(items, F.size(codes) != F.size(F.array_distinct(codes)), message)
+    return Checked(items, F.size(items) != F.size(F.array_distinct(codes)), message)
 
 
-def known_types(day: Column, station_id: Column) -> Checked:
-    """Type entries with a known code; a code given twice is a failure."""
-    items = F.filter(_or_empty(day["pollenTypeInfo"]), lambda item: item["code"].isin(*_TYPES))
-    return _unique_codes(items, "pollen type", station_id)
+def known_types(day: Column) -> Column:
+    """Type entries with a known code."""
+    return F.filter(_or_empty(day["pollenTypeInfo"]), lambda item: item["code"].isin(*_TYPES))
 
 
-def known_plants(day: Column, station_id: Column) -> Checked:
-    """Plant entries with a known code and a known type; a code given twice is a failure."""
-    items = F.filter(
+def known_plants(day: Column) -> Column:
+    """Plant entries with a known code and a known type."""
+    return F.filter(
         _or_empty(day["plantInfo"]),
         lambda item: item["code"].isin(*PLANT_CODES) & item["plantDescription"]["type"].isin(*_TYPES),
     )
-    return _unique_codes(items, "plant", station_id)
 
 
 def pollen_group(types: Column, plants: Column, code: str) -> Column:
     """``{value, plants}`` of one pollen type, plants by code; NULL where neither names it."""
     entry = F.get(F.filter(types, lambda item: item["code"] == code), F.lit(0))
-    members = F.array_sort(
+    own = lambda item: item["plantDescription"]["type"] == code
+    members = F.sort_array(
         F.transform(
-            F.filter(plants, lambda item: item["plantDescription"]["type"] == code),
+            F.filter(plants, own),
             lambda item: F.struct(item["code"].alias("code"), item["indexInfo"]["value"].alias("value")),
         )
     )
     group = F.struct(entry["indexInfo"]["value"].alias("value"), members.alias("plants"))
-    return F.when(entry.isNotNull() | (F.size(members) > 0), group).cast(POLLEN_INFO_TYPE)
+    return F.when(entry.isNotNull() | F.exists(plants, own), group).cast(POLLEN_INFO_TYPE)
 
 
 def _outside(value: Column) -> Column:

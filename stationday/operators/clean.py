@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from stationday.errors import DataQualityError
 from stationday.functions.checked import first_failure
-from stationday.functions.pollen import checked_day, known_plants, known_types, pollen_group
+from stationday.functions.pollen import checked_day, known_plants, known_types, pollen_group, unique_codes
 from stationday.functions.text import checked_cast
 from stationday.functions.time import with_observation_time
 from stationday.operators.joins import first_and_total, in_all
@@ -158,13 +158,15 @@ def clean_pollen_results(results: DataFrame) -> DataFrame:
     by_day = results.select(KEY, "station_id", (day.value if gathered else day.or_raise()).alias("day"), *(
         [F.coalesce(F.col(FAILURE), day.failure).alias(FAILURE)] if gathered else []
     ))
-    types, plants = known_types(F.col("day"), station), known_plants(F.col("day"), station)
+    # each list is made once, then checked and used by name
+    known = by_day.withColumns({"types": known_types(F.col("day")), "plants": known_plants(F.col("day"))})
+    types, plants = unique_codes(F.col("types"), "pollen type", station), unique_codes(F.col("plants"), "plant", station)
     if gathered:
         lists = [types.value.alias("types"), plants.value.alias("plants")]
         carried = [first_failure(F.col(FAILURE), types.failure, plants.failure).alias(FAILURE)]
     else:
         lists = [types.or_raise().alias("types"), plants.or_raise().alias("plants")]
-    parts = by_day.select(KEY, "station_id", *lists, *carried)
+    parts = known.select(KEY, "station_id", *lists, *carried)
     groups = (
         pollen_group(F.col("types"), F.col("plants"), code).alias(column) for code, column in POLLEN_COLUMNS.items()
     )

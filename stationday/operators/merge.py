@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationday.errors import DataQualityError
-from stationday.operators.joins import duplicate_keys, first_and_total, in_all, per_date, raise_if_any
+from stationday.operators.joins import broadcast_if_small, duplicate_keys, first_and_total, in_all, per_date, raise_if_any
 from stationday.operators.quality import date_conflicts
 from stationday.schemas import DAILY_WEATHER_SCHEMA, MEASUREMENTS, SLOTS
 from stationday.session import work_folder
@@ -54,8 +54,13 @@ def with_ordered_codes(df: DataFrame, column: str = "direction") -> tuple[DataFr
         F.monotonically_increasing_id().alias("code"), "text"
     ).write.parquet(path)
     codes = df.sparkSession.read.schema("code long, text string").parquet(path)
-    # rows without a text do not meet in a join
-    coded = df.where(F.col(column).isNotNull()).join(codes.withColumnRenamed("text", column), column).drop(column)
+    by_text = codes.withColumnRenamed("text", column)
+    small = broadcast_if_small(by_text)
+    if small is not by_text:
+        # one scan, as no row moves for a broadcast
+        return df.join(small, column, "left").drop(column), codes
+    # rows without a text do not meet in a shuffle
+    coded = df.where(F.col(column).isNotNull()).join(by_text, column).drop(column)
     rest = df.where(F.col(column).isNull()).drop(column).withColumn("code", F.lit(None).cast("long"))
     return coded.unionByName(rest), codes
 

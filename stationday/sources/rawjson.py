@@ -50,5 +50,10 @@ def pollen_results(payloads: DataFrame, failure: str | None = None) -> DataFrame
 
 
 def parse_responses(responses: DataFrame) -> DataFrame:
-    """Replace the text column ``response`` by its parsed form."""
-    return responses.withColumn("response", parse_object(F.col("response"), POLLEN_RESPONSE_DDL))
+    """Replace the text column ``response`` by its parsed form.
+
+    The text is named twice, so that it stays a column where it was just made: as a part of ``from_json`` its expression
+    would be interpreted for every row.
+    """
+    text = F.col("response")
+    return responses.withColumn("response", F.when(text.isNotNull(), parse_object(text, POLLEN_RESPONSE_DDL)))
